@@ -53,8 +53,7 @@ def curve_points(scored: DataFrame, label: str = "label", score: str = "score",
 def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score", bounds=(0.0, 1.0)) -> DataFrame:
     """ROC-AUC with ties counted half, and average precision over distinct scores.
 
-    Scores outside ``bounds`` fall into the outer buckets' range checks, so
-    give ``None`` when the scores are not probabilities.
+    ``bounds`` is the range of the scores; give ``None`` to have it looked up.
     """
     points = curve_points(scored, label, score, bounds)
     positives, negatives = F.sum("pos").cast("double"), F.sum("neg").cast("double")
@@ -104,10 +103,12 @@ def confusion_matrix(
     scored: DataFrame, classes: list, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
     """One row per actual class, one zero-filled column per predicted class."""
-    table = scored.groupBy(label).pivot(prediction, classes).agg(F.count("*"))
-    actual = scored.sparkSession.createDataFrame([(c,) for c in classes], f"{label} {scored.schema[label].dataType.simpleString()}")
-    named = {str(c): F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("bigint") for c in classes}
-    return actual.join(table, label, "left").select(label, *[value.alias(f"predicted_{c}") for c, value in named.items()])
+    said = [F.count_if(F.col(prediction) == name).alias(f"predicted_{name}") for name in classes]
+    counted = scored.groupBy(label).agg(*said)
+    kind = scored.schema[label].dataType.simpleString()
+    actual = scored.sparkSession.createDataFrame([(name,) for name in classes], f"{label} {kind}")
+    filled = [F.coalesce(f"predicted_{name}", F.lit(0)).alias(f"predicted_{name}") for name in classes]
+    return actual.join(counted, label, "left").select(label, *filled)
 
 
 def per_class_metrics(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

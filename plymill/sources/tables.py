@@ -56,7 +56,7 @@ RAW_RULES = {
         "case when l_partkey % 89 = 0 then '*' when l_returnflag = 'R' then '1-0'"
         " when l_returnflag = 'A' then '0-1' else '1/2-1/2' end"
     ),
-    "white_elo": "case when o_custkey % 29 = 0 then '?' else cast(300 + o_custkey % 3400 as string) end",
+    "white_elo": "case when o_custkey % 29 = 0 then '?' else cast(300 + (o_custkey * 211) % 3400 as string) end",
     "black_elo": "cast(900 + (l_suppkey * 37) % 1800 as string)",
     "eco": f"case when l_partkey % 31 = 0 then null else {_CODE.format(key='l_partkey')} end",
     "opening": (
@@ -178,5 +178,5 @@ def game_events(spark: SparkSession, folder: str) -> DataFrame:
                 F.col("event_type").alias("status"),
             )
         ).alias("value"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("ts").cast("timestamp_ntz").alias("ts"),
     )
