@@ -301,7 +301,7 @@ add(
 _STAT_ORDER = "games_count desc, eco_code nulls first, opening_family nulls first, elo_bucket nulls first, time_control_type nulls first, year"
 add(
     "f07_optional_predicates", ["stats"],
-    "select * from stats where eco_code = 'B02' and opening_family ilike '%large%' and year = 1998"
+    "select * from stats where eco_code = 'B02' and opening_family ilike '%conom%' and year = 1998"
     f" order by {_STAT_ORDER} limit 40",
 )
 add("f08_player_any_case", ["players"], f"select {PLAYER_ROW} from players where lower(player) = 's17'")

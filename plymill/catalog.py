@@ -487,7 +487,7 @@ def _(spark, folder):
 @query("f07_optional_predicates")
 def _(spark, folder):
     rows = opening_rows(spark, folder)
-    return rounded(queries.opening_stats(rows, code="B02", opening="LARGE", year=1998, limit=40))
+    return rounded(queries.opening_stats(rows, code="B02", opening="conom", year=1998, limit=40))
 
 
 @query("f08_player_any_case")

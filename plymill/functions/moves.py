@@ -18,7 +18,7 @@ SAN = (
 )
 END_CODES = r"(?:1-0|0-1|1/2-1/2|\*)"
 
-_GAP = r"[\s ]+"
+_BLANK = r"[\s\u00a0]"
 
 
 def strip_comments(text: Column) -> Column:
@@ -43,9 +43,12 @@ def strip_variations(text: Column) -> Column:
 
 
 def strip_numbers(text: Column) -> Column:
-    """Drop numeric glyphs and move numbers, then squeeze the blanks."""
-    plain = F.regexp_replace(text, r"\$\d+|\d+\.(?:\.\.)?", " ")
-    return F.trim(F.regexp_replace(plain, _GAP, " "))
+    """Drop numeric glyphs and move numbers, then squeeze the blanks.
+
+    The blanks after a number go with it, so fewer runs are left to squeeze.
+    """
+    plain = F.regexp_replace(text, rf"(?:\$\d+|\d+\.(?:\.\.)?){_BLANK}*", " ")
+    return F.trim(F.regexp_replace(plain, rf"{_BLANK}{{2,}}|[^\S ]|\u00a0", " "))
 
 
 def strip_noise(text: Column) -> Column:
@@ -60,8 +63,9 @@ def clean_tokens(text: Column) -> Column:
 
 
 def drop_end_codes(text: Column) -> Column:
-    bare = F.regexp_replace(text, rf"(?<![^ ]){END_CODES}(?= |$)", "")
-    return F.trim(F.regexp_replace(bare, " +", " "))
+    """Drop result codes and the gaps they and emptied tokens leave; the text has only plain blanks."""
+    bare = F.regexp_replace(text, rf"(?:^| ){END_CODES}(?= |$)", "")
+    return F.trim(F.regexp_replace(bare, " {2,}", " "))
 
 
 def move_text(text: Column) -> Column:

@@ -15,6 +15,7 @@ from plymill.operators.keyed import hash_sample
 from plymill.plans.openings import moves_column
 
 BLUNDER_CP = 200
+MAX_SLOTS = 128
 
 
 def sample_games(
@@ -27,15 +28,26 @@ def sample_games(
 
 
 def evaluations_per_game(evaluations: DataFrame, max_plies: int) -> DataFrame:
-    """All scores of a game in one row, as a map from ply to score.
+    """All scores of a game in one row: an array with the score after every ply from 0.
 
-    Repeats of a ply collapse first (smallest score), map-side; what is left is
-    at most ``max_plies + 1`` entries per game.
+    Up to ``MAX_SLOTS`` plies each ply is an aggregate of its own, so that one
+    shuffle with map-side combining does it, repeats of a ply included (the
+    smallest score counts).  Longer games collapse repeats first and then
+    collect at most ``max_plies + 1`` entries.
     """
     useful = evaluations.filter(F.col("game_id").isNotNull() & F.col("ply").between(0, max_plies))
+    if max_plies <= MAX_SLOTS:
+        slots = [F.min(F.when(F.col("ply") == i, F.col("eval_cp"))).alias(f"_{i}") for i in range(max_plies + 1)]
+        wide = useful.groupBy("game_id").agg(*slots)
+        return wide.select("game_id", F.array(*[f"_{i}" for i in range(max_plies + 1)]).alias("scores"))
     unique = useful.groupBy("game_id", "ply").agg(F.min("eval_cp").alias("eval_cp"))
-    return unique.groupBy("game_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("ply", "eval_cp"))).alias("scores")
+    entries = F.map_from_entries(F.collect_list(F.struct("ply", "eval_cp")))
+    mapped = unique.groupBy("game_id").agg(entries.alias("by_ply"))
+    return mapped.select(
+        "game_id",
+        F.transform(
+            F.sequence(F.lit(0), F.lit(max_plies)), lambda ply: F.try_element_at("by_ply", ply)
+        ).alias("scores"),
     )
 
 
@@ -95,8 +107,8 @@ def evaluated_positions(
         played_positions(scored, max_plies, carry=("scores",))
         .withColumns(
             {
-                "eval_before_cp": F.try_element_at("scores", F.col("ply_number") - 1) * view,
-                "eval_after_cp": F.try_element_at("scores", F.col("ply_number")) * view,
+                "eval_before_cp": F.get("scores", F.col("ply_number") - 1) * view,
+                "eval_after_cp": F.get("scores", F.col("ply_number")) * view,
             }
         )
         .withColumn("cp_loss", F.when(loss.isNotNull(), F.greatest(F.lit(0), loss)))

@@ -28,6 +28,15 @@ def read_game_blocks(spark: SparkSession, path: str, partitions: int | None = No
     return lines.filter(F.length(text) > 0).select(block.alias("block"))
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a scan over all cores when it comes in fewer pieces than there are cores.
+
+    One small file is one task; anything larger passes through unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_landing(raw: DataFrame, path: str, *, rows_per_file: int = 100_000) -> None:
     raw.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).option(
         "compression", "snappy"

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plymill.sources.lake import spread
+
 # A long quiet game: knights out and back, 21 rounds of four plies.
 _SHUFFLE = " ".join(
     f"{2 * i + 1}. Nf3 Nf6 {2 * i + 2}. Ng1 Ng8" for i in range(21)
@@ -109,8 +111,9 @@ def _rules(df: DataFrame, rules: dict[str, str]) -> DataFrame:
 
 def raw_games(spark: SparkSession, folder: str) -> DataFrame:
     """The raw table: one row per order line, with real duplicates, nulls and bad values."""
-    lines = table(spark, folder, "lineitem")
-    orders = table(spark, folder, "orders")
+    columns = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_shipdate"]
+    lines = spread(table(spark, folder, "lineitem").select(*columns), "l_orderkey")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
     return _rules(joined, RAW_RULES)
 
@@ -123,7 +126,8 @@ def opening_reference(spark: SparkSession, folder: str) -> DataFrame:
 def evaluations(spark: SparkSession, folder: str) -> DataFrame:
     """Engine scores per half-move of every game, from the first mover's view."""
     plies = F.explode(F.sequence(F.lit(0), F.lit(EVALUATED_PLIES))).alias("ply")
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", plies)
+    lines = spread(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey")
+    lines = lines.select("*", plies)
     return _rules(lines, {**EVALUATION_RULES, "ply": "ply"}).select("game_id", "ply", "eval_cp")
 
 
