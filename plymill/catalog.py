@@ -1002,7 +1002,7 @@ def _(spark, folder):
 
 @query("m05_one_hot")
 def _(spark, folder):
-    frame = prep.impute_levels(_outcomes(spark, folder), frames.OUTCOME_CATEGORIES).persist()
+    frame = prep.impute_levels(_outcomes(spark, folder), frames.OUTCOME_CATEGORIES)
     coded = prep.encoder(["year"], ["eco_code", "time_control_type"]).fit(frame).transform(frame)
     width = F.size(vector_to_array("features")).alias("width")
     return tally(coded.select("eco_code", "time_control_type", width))

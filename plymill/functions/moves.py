@@ -18,8 +18,6 @@ SAN = (
 )
 END_CODES = r"(?:1-0|0-1|1/2-1/2|\*)"
 
-_BLANK = r"[\s\u00a0]"
-
 
 def strip_comments(text: Column) -> Column:
     """Drop ``{...}`` comments and ``;`` comments up to the end of the line."""
@@ -45,10 +43,12 @@ def strip_variations(text: Column) -> Column:
 def strip_numbers(text: Column) -> Column:
     """Drop numeric glyphs and move numbers, then squeeze the blanks.
 
-    The blanks after a number go with it, so fewer runs are left to squeeze.
+    Other white space turns into plain blanks first, which keeps the squeezing
+    pattern a literal one.
     """
-    plain = F.regexp_replace(text, rf"(?:\$\d+|\d+\.(?:\.\.)?){_BLANK}*", " ")
-    return F.trim(F.regexp_replace(plain, rf"{_BLANK}{{2,}}|[^\S ]|\u00a0", " "))
+    blanks = F.translate(text, "\t\n\r\f\v\u00a0", " " * 6)
+    plain = F.regexp_replace(blanks, r"\$\d+|\d+\.(?:\.\.)?", " ")
+    return F.trim(F.regexp_replace(plain, "  +", " "))
 
 
 def strip_noise(text: Column) -> Column:
@@ -65,7 +65,7 @@ def clean_tokens(text: Column) -> Column:
 def drop_end_codes(text: Column) -> Column:
     """Drop result codes and the gaps they and emptied tokens leave; the text has only plain blanks."""
     bare = F.regexp_replace(text, rf"(?:^| ){END_CODES}(?= |$)", "")
-    return F.trim(F.regexp_replace(bare, " {2,}", " "))
+    return F.trim(F.regexp_replace(bare, "  +", " "))
 
 
 def move_text(text: Column) -> Column:

@@ -103,7 +103,8 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     long = doubles.unpivot([], columns, "feature", "value").filter(F.col("value").isNotNull())
     counted = long.groupBy("feature", "value").agg(F.count("*").alias("n"))
     sizes = counted.groupBy("feature").agg(F.sum("n").alias("total"))
-    ranked = running_totals(counted, ["feature"], "value", ["n"]).join(sizes, "feature")
+    # one row per named column, so it is safe to broadcast; a shuffle by feature would be all skew
+    ranked = running_totals(counted, ["feature"], "value", ["n"]).join(F.broadcast(sizes), "feature")
     # 0-based ranks of the two middle rows
     low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
 
