@@ -87,14 +87,15 @@ WITH w AS (
   SELECT 0 AS lev, lang, source, rule, room, both_sides, x FROM s
   UNION ALL SELECT 1, lang, NULL, rule, room, both_sides, x FROM s
   UNION ALL SELECT 2, NULL, NULL, rule, room, both_sides, x FROM s
+), k AS (
+  SELECT lev, lang, source, rule, room, both_sides, x, count(*) AS times FROM lv GROUP BY 1, 2, 3, 4, 5, 6, 7
 ), c AS (
-  SELECT lev, lang, source, rule, room, both_sides, x, sum(count(*)) OVER (PARTITION BY lev, lang, source, rule ORDER BY x) AS upto,
-    sum(count(*)) OVER (PARTITION BY lev, lang, source, rule) AS n
-  FROM lv GROUP BY ALL
+  SELECT *, sum(times) OVER (PARTITION BY lev, lang, source, rule ORDER BY x) AS upto,
+    sum(times) OVER (PARTITION BY lev, lang, source, rule) AS n FROM k
 ), q AS (
-  SELECT lev, lang, source, rule, room, both_sides, any_value(n) AS n,
+  SELECT lev, lang, source, rule, room, both_sides, max(n) AS n,
     min(x) FILTER (upto * 4 >= n) AS q1, min(x) FILTER (upto * 4 >= n * 3) AS q3
-  FROM c GROUP BY ALL
+  FROM c GROUP BY 1, 2, 3, 4, 5, 6
 ), f AS (
   SELECT lev, lang, source, rule, n, CASE WHEN both_sides THEN q1 - greatest(room, 3 * (q3 - q1)) END AS lo,
     q3 + greatest(room, 3 * (q3 - q1)) AS hi FROM q
