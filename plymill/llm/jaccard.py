@@ -247,7 +247,8 @@ def _verified(pairs: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
 
 def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(node, root): components of the candidate sets."""
-    tokens = found.select(F.explode("p1").alias("token"), "sid", "own", "n")
+    placed = found.select(F.posexplode("p1").alias("place", "token"), "sid", "own", "n")
+    tokens = placed.select("token", "sid", "own", "n", (F.col("n") - F.round(F.col("own") * F.col("n")) - F.col("place")).cast("long").alias("left"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
     rows = stored(tokens.join(shared, "token"), "prefixes")
     edges, labels = None, None
@@ -260,18 +261,18 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             if rows.isEmpty():
                 break
         root = F.col("root") if "root" in rows.columns else F.col("sid")
-        current = rows.select("token", "sid", "own", "n", root.alias("root"))
+        current = rows.select("token", "sid", "own", "n", "left", root.alias("root"))
         if turn < PIVOT_ROUNDS:
-            pivots = current.groupBy("token").agg(F.min(F.struct("own", "sid", "root", "n")).alias("pivot"))
+            pivots = current.groupBy("token").agg(F.min(F.struct("own", "sid", "root", "n", "left")).alias("pivot"))
             pairs = current.join(pivots, "token").where("sid <> pivot.sid and root <> pivot.root")
-            pairs = pairs.where(_sizes_fit(F.col("n"), F.col("pivot.n"), threshold))
+            pairs = pairs.where(_can_link("", "pivot.", threshold))
             pairs = pairs.select(F.least("sid", "pivot.sid").alias("a"), F.greatest("sid", "pivot.sid").alias("b"))
             rest = pivots.select("token", "pivot.sid")
             rows = rows.join(rest, ["token", "sid"], "left_anti").drop("root")
         else:
-            other = current.select("token", F.col("sid").alias("o_sid"), F.col("root").alias("o_root"), F.col("n").alias("o_n"))
+            other = current.select("token", *[F.col(c).alias(f"o_{c}") for c in ("sid", "root", "n", "left")])
             pairs = current.join(other, "token").where("sid < o_sid and root <> o_root")
-            pairs = pairs.where(_sizes_fit(F.col("n"), F.col("o_n"), threshold)).select(F.col("sid").alias("a"), F.col("o_sid").alias("b"))
+            pairs = pairs.where(_can_link("", "o_", threshold)).select(F.col("sid").alias("a"), F.col("o_sid").alias("b"))
         fresh = _verified(pairs.distinct(), found, threshold)
         old = None if labels is None else labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
         edges = stored(fresh if old is None else fresh.union(old), "links")
@@ -279,8 +280,14 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return labels
 
 
-def _sizes_fit(a: Column, b: Column, threshold: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * threshold
+def _can_link(one: str, two: str, threshold: int) -> Column:
+    """Whether two sets can reach the threshold if this is their first common token.
+
+    ``left`` counts the tokens of a set from this one on, in the first order; no more than
+    the lesser of the two can be common.
+    """
+    a, b = F.col(f"{one}n"), F.col(f"{two}n")
+    return F.least(f"{one}left", f"{two}left") * (100 + threshold) >= (a + b) * threshold
 
 
 def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
