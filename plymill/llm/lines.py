@@ -80,7 +80,7 @@ def drop_common_lines(docs: DataFrame, *, min_docs: int = 10) -> DataFrame:
         F.coalesce(F.size("lost"), F.lit(0)).cast("long").alias("n_dropped"),
         kept.alias("kept"),
     )
-    return joined.select("row.*", result.alias("line_result"))
+    return joined.select("row", result.alias("line_result")).select("row.*", "line_result")
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -90,8 +90,13 @@ def _draws(blocks: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     )
 
 
-def assign(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards: int = 16, seed: int = 20_240) -> DataFrame:
-    """All columns of ``docs`` with ``mix``: struct(size, source_size, target, draws).
+def assign(docs: DataFrame, **options) -> DataFrame:
+    """All columns of ``docs`` with ``mix``: struct(size, source_size, target, draws); options as below."""
+    return _assigned(docs, **options).select("row.*", "mix")
+
+
+def _assigned(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards: int = 16, seed: int = 20_240) -> DataFrame:
+    """(row, mix) for each document.
 
     ``draws`` has a struct(shard, epoch, words) for each time the document is taken.
     Tables per source, and per source and block (at most 1024 a source), are small; only
@@ -147,7 +152,7 @@ def assign(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards: int
     draws_of = F.coalesce(F.filter(F.transform("draws", drawn), lambda x: x["words"] > 0), none)
     out = both.join(F.broadcast(plan), both["m_source"].eqNullSafe(plan["source"]))  # one row per source
     return out.select(
-        "row.*",
+        "row",
         F.struct(F.col("m_size").alias("size"), "source_size", "target", draws_of.alias("draws")).alias("mix"),
     )
 
@@ -158,13 +163,14 @@ def mixture(docs: DataFrame, *, seed: int = 20_240, **options) -> DataFrame:
     A document cut at a word has only its first ``words`` words.  Partitions are ranges of
     (shard, order_key), so a large shard takes many tasks.
     """
-    rows = assign(docs, seed=seed, **options).withColumn("taken", F.explode("mix.draws"))
-    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = _assigned(docs, seed=seed, **options).select("row", "mix", F.explode("mix.draws").alias("taken"))
+    own = F.col("row")
+    pieces = F.regexp_extract_all(own["text"], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     cut = F.array_join(F.slice(pieces, F.lit(1), F.col("taken.words").cast("int")), "")
-    text = F.when(F.col("taken.words") < F.col("mix.size"), cut).otherwise(F.col("text"))
-    key = F.xxhash64(F.lit(seed + 3), "doc_id", "taken.epoch")
+    text = F.when(F.col("taken.words") < F.col("mix.size"), cut).otherwise(own["text"])
+    key = F.xxhash64(F.lit(seed + 3), own["doc_id"], "taken.epoch")
     out = rows.select(
-        *[text.alias(c) if c == "text" else rows[c] for c in docs.columns],
+        *[(text if c == "text" else own[c]).alias(c) for c in docs.columns],
         F.col("taken.shard").alias("shard"),
         F.col("taken.epoch").alias("epoch"),
         F.col("taken.words").alias("words"),

@@ -202,7 +202,7 @@ def judge(docs: DataFrame) -> DataFrame:
         value, fence = measure(rule, m), F.col(rule.name)
         fits = fits & F.coalesce(value <= fence["hi"], F.lit(True)) & F.coalesce(value >= fence["lo"], F.lit(True))
     quality = F.struct(m.alias("counts"), failed.alias("base_failed"), (~failed & fits).alias("kept"))
-    return joined.select("row.*", quality.alias("quality"))
+    return joined.select("row", quality.alias("quality")).select("row.*", "quality")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,11 +73,13 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR)
         .select(F.col("doc_id").alias("c_id"), F.array(F.struct("sid", F.lit(0).alias("start"), F.col("n_words").cast("int").alias("end"))).alias("cuts"))
     )
     lost = cuts.unionByName(copies).groupBy("c_id").agg(F.flatten(F.collect_list("cuts")).cast(CUTS).alias("cuts"))
-    joined = ided.join(lost, ided["doc_id"] == lost["c_id"], "left").drop("c_id")
-    free = docs.where("doc_id is null").withColumn("cuts", F.lit(None).cast(CUTS))
-    both = joined.unionByName(free)
-    result = F.arrow_udf(_kept, "struct<n_words:long,n_removed:long,kept:string>")(F.col("text").cast("binary"), F.col("cuts"))
-    return both.select(*[both[c] for c in docs.columns], result.alias("substring_result"))
+    row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    keyed = ided.select(row, docs["doc_id"].alias("d_id"))
+    joined = keyed.join(lost, F.col("d_id") == F.col("c_id"), "left").select("row", "cuts")
+    free = docs.where("doc_id is null").select(row, F.lit(None).cast(CUTS).alias("cuts"))
+    both = joined.union(free)
+    result = F.arrow_udf(_kept, "struct<n_words:long,n_removed:long,kept:string>")(F.col("row")["text"].cast("binary"), F.col("cuts"))
+    return both.select("row", result.alias("substring_result")).select("row.*", "substring_result")
 
 
 def _kept(texts: pa.Array, cuts: pa.Array) -> pa.Array:

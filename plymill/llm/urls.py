@@ -167,7 +167,7 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
     score = F.when(F.col("listed").isNull(), F.col("score"))
     final = F.coalesce("listed", F.when(F.col("score") > 0, "block").otherwise("allow"))
     judged = F.struct("host", "path", "rule", final.alias("verdict"), score.alias("score"))
-    return joined.select("row.*", judged.alias("judged"))
+    return joined.select("row", judged.alias("judged")).select("row.*", "judged")
 
 
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
