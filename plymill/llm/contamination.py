@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.llm.blocks import runs
+from plymill.llm.graphs import small_batches
 from plymill.llm.words import Slice, mix, shingle_sets, slices, spans
 
 WIDTH = 5
@@ -178,6 +179,7 @@ def item_shingles(benchmark: DataFrame, item_id: str = "item_id") -> DataFrame:
 
 def item_blocks(benchmark: DataFrame):
     """Blocks of items as ``(ids, rows for index_items)``, each of about BLOCK_SHINGLES shingles at most."""
+    small_batches(benchmark.sparkSession)
     shingled = item_shingles(benchmark)
     total = shingled.agg(F.sum(F.size("shingles"))).first()[0] or 0
     n = -(-total // BLOCK_SHINGLES)

@@ -1,8 +1,8 @@
-"""Connected components on Spark."""
+"""Stored tables, bounded batches and connected components on Spark."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.session import scratch_path
@@ -15,6 +15,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     return frame.sparkSession.read.parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let batches for Python hold at most 2000 rows and 8 MB, so that workers stay small on long texts.
+
+    Settings that the caller has changed stay as they are.
+    """
+    for key, default, most in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        name = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(name, default) == default:
+            spark.conf.set(name, most)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for all nodes of ``edges(a, b)``; the root is the least node of the component.
 

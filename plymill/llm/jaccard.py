@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.llm.blocks import bucket_count, buckets_of, deal, gather, runs
-from plymill.llm.graphs import components, stored
+from plymill.llm.graphs import components, small_batches, stored
 from plymill.llm.words import digests, mix, shingle_sets, slices
 
 WIDTH = 5
@@ -292,6 +292,7 @@ def _can_link(one: str, two: str, threshold: int) -> Column:
 
 def near_duplicates(docs: DataFrame, *, threshold: int = THRESHOLD) -> DataFrame:
     """(doc_id, sid, n_shingles, component_id): one row per row of ``docs``."""
+    small_batches(docs.sparkSession)
     common = frequent(docs)
     sets = stored(token_sets(docs, np.array(common, np.int64).view(np.uint64)), "sets")
     found = stored(candidates(docs, sets, common, threshold), "candidates")

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plymill.llm.graphs import small_batches
+
 SIZE = 512
 ORDER = 3
 SEED = 71
@@ -166,6 +168,7 @@ def predict(text: Column, learned: dict[str, np.ndarray]) -> Column:
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
     learned = prototypes(docs.where(~held_out & F.col("lang").isNotNull()))

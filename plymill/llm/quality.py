@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from plymill.llm.blocks import runs
+from plymill.llm.graphs import small_batches, stored
 from plymill.llm.words import Slice, slices
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_text_lines"]
@@ -187,10 +188,11 @@ def thresholds(sketch: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """All columns of ``docs`` with ``quality``: struct(counts, base_failed, kept)."""
+    small_batches(docs.sparkSession)
     row = F.struct(*[docs[c] for c in docs.columns])
     measured = docs.select(row.alias("row"), docs["lang"], docs["source"], counts_of(docs["text"]).alias("m"))
     narrow = docs.select("lang", "source", counts_of(docs["text"]).alias("m"))
-    limits = thresholds(sketches(narrow))
+    limits = stored(thresholds(sketches(narrow)), "thresholds")  # its known size decides how it is joined
     joined = measured.join(
         limits,
         measured["lang"].eqNullSafe(limits["t_lang"]) & measured["source"].eqNullSafe(limits["t_source"]),

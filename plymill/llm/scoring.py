@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.llm.blocks import bucket_count, buckets_of, deal, gather, runs
-from plymill.llm.graphs import stored
+from plymill.llm.graphs import small_batches, stored
 from plymill.llm.words import Slice, mix, slices, spans
 
 CONTEXTS = 32_000
@@ -202,6 +202,7 @@ def with_kinds(docs: DataFrame, held_out: Column) -> DataFrame:
 def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of ``docs``."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = with_kinds(docs, held_out)
     counts = stored(unigrams(rows), "unigrams")
     total, core, types = (x or 0 for x in counts.agg(F.sum("n"), F.sum("core"), F.count("*")).first())

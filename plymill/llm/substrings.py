@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.llm.blocks import bucket_count
-from plymill.llm.graphs import stored
+from plymill.llm.graphs import small_batches, stored
 from plymill.llm.repeats import ONE_AFTER, ONE_BEFORE, by_text, repeated_windows, text_digests, texts
 from plymill.llm.words import slices, spans
 
@@ -61,6 +61,7 @@ def covered(found: DataFrame, known: DataFrame, width: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR) -> DataFrame:
     """All columns of ``docs``, with ``substring_result``: struct(n_words, n_removed, kept), kept words joined by a space."""
+    small_batches(docs.sparkSession)
     own = stored(texts(docs), "texts")
     words = own.agg(F.sum("n_words")).first()[0] or 0
     ided = docs.where("doc_id is not null")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plymill.llm.blocks import bucket_count
-from plymill.llm.graphs import stored
+from plymill.llm.graphs import small_batches, stored
 from plymill.llm.repeats import FIRST, by_text, repeated_windows, texts
 
 WIDTH = 50
@@ -31,6 +31,7 @@ def shared_passages(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR
 
     ``is_first`` is true where no document with a smaller id holds any of the windows.
     """
+    small_batches(docs.sparkSession)
     own = stored(texts(docs.where("doc_id is not null")).distinct(), "texts")
     total = own.agg(F.sum("n_words")).first()[0] or 0
     known = own.groupBy("sid").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("docs"), F.first("n_words").alias("size"))

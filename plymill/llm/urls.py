@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plymill.llm.graphs import small_batches
 from plymill.llm.lines import LOWER, UPPER
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
@@ -137,6 +138,7 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
 
     The score is the log odds for block, null where a rule decides.
     """
+    small_batches(pages.sparkSession)
     split = segmenter(pages, seeds)
     host, path = host_and_path(pages["url"])
     rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("row"), host.alias("host"), path.alias("path"))
