@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from plymill.llm.graphs import stored
 from plymill.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -127,9 +128,9 @@ def _assigned(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards:
     dealt = ranked.join(
         shares, ranked["source"].eqNullSafe(shares["s_source"]) & (ranked["rank"] == shares["rank"])
     )
-    by_block = dealt.groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(
+    by_block = stored(dealt.groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(
         F.max("need").alias("need"), F.array_sort(F.collect_list(F.struct("epoch", "shard", "need"))).alias("draws")
-    )
+    ), "draws")  # its known size decides how it is joined
     documents = _measured(docs, seed)
     taken = documents.join(
         by_block, documents["m_source"].eqNullSafe(by_block["d_source"]) & (documents["block"] == by_block["d_block"]), "left"
