@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from plymill.sources.tables import (
     EVALUATED_PLIES,
+    UNSCORED,
     EVALUATION_RULES,
     RAW_RULES,
     REFERENCE_FILTER,
@@ -219,12 +220,12 @@ CTES: dict[str, tuple[list[str], str]] = {
     "evals": (
         [],
         f"""select {EVALUATION_RULES['game_id']} as game_id, ply, min({EVALUATION_RULES['eval_cp']}) as eval_cp
-        from lineitem, (select unnest(range({EVALUATED_PLIES + 1})) as ply) group by 1, 2""",
+        from lineitem, (select unnest(range({EVALUATED_PLIES + 1})) as ply) where not ({UNSCORED}) group by 1, 2""",
     ),
     "plies": (
         ["plain"],
         r"""select game_id, unnest(m) as move, cast(generate_subscripts(m, 1) as integer) as ply_number, clock_seconds,
-          time_control_type, year, white_elo, black_elo from (select *, moves_san[1:80] as m from plain where len(moves_san) > 0)""",
+          time_control_type, year, white_elo, black_elo from (select *, moves_san as m from plain where len(moves_san) > 0)""",
     ),
     "moved": (
         ["plies"],
@@ -287,7 +288,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         f"""select {TIME_LEFT.format(s='time_remaining_seconds')} as time_remaining_bucket, game_phase,
           time_control_type, year, count(*) as evaluated_positions, count(*) filter (is_blunder) as blunder_count,
           avg(cp_loss) as avg_cp_loss, (count(*) filter (is_blunder))::double / count(*) as blunder_rate
-        from positions where time_remaining_seconds is not null group by 1, 2, 3, 4""",
+        from positions where time_remaining_seconds is not null and cp_loss is not null group by 1, 2, 3, 4""",
     ),
     "pressure": (
         ["clocks", "scored_buckets"],

@@ -225,7 +225,7 @@ def _percent(c: str) -> str:
     return f"printf('%.1f', round({c} * 100, 1))"
 
 
-def opening_sentences(least: int, limit: int) -> str:
+def opening_sentences(least: int, limit: int | None = None) -> str:
     order = f"games_count desc, {', '.join(k.strip() + ' nulls first' for k in OPENING_KEYS.split(','))}"
     return f"""select 'op_' || (row_number() over (order by {order}) - 1) as doc_id,
       'Opening: ' || coalesce(opening_family, 'None') || ' (ECO ' || coalesce(eco_code, 'None') || '). Elo range: '
@@ -233,7 +233,7 @@ def opening_sentences(least: int, limit: int) -> str:
       || format('{{:,}}', games_count) || ' games. White wins ' || {_percent('white_win_rate')} || '%, draw '
       || {_percent('draw_rate')} || '%, black wins ' || {_percent('black_win_rate')} || '%. Average game length: '
       || printf('%.0f', round(avg_game_length, 0)) || ' moves.' as text
-    from (select * from openings where games_count >= {least} order by {order} limit {limit})"""
+    from (select * from openings where games_count >= {least} order by {order} limit {limit or 10**9})"""
 
 
 PLAYER_SENTENCES = f"""select 'pl_' || (row_number() over (order by total_games desc, player) - 1) as doc_id,
@@ -243,23 +243,23 @@ PLAYER_SENTENCES = f"""select 'pl_' || (row_number() over (order by total_games
       || coalesce(' Preferred opening as Black: ' || b || '.', '') as text
     from (select player, sum(games_played)::bigint as total_games, {r('avg(avg_elo)', 0)} as elo,
       {r('avg(win_rate) * 100', 1)} as win_pct, min(most_played_opening_white) as w, min(most_played_opening_black) as b
-      from players group by 1 having sum(games_played) >= 30 order by 2 desc, 1 limit 1000)"""
+      from players group by 1 having sum(games_played) >= 30 order by 2 desc, 1)"""
 
-add("p37_opening_sentences", ["openings"], opening_sentences(5, 3000))
+add("p37_opening_sentences", ["openings"], opening_sentences(5))
 add(
     "p38_mart_player_profile", ["players"],
-    f"""select player, year, month, games_played::int as games_played, wins::int as wins, losses::int as losses,
-      draws::int as draws, {r6('win_rate')} as win_rate, {r6('avg_elo')} as avg_elo, elo_change::double as elo_change,
+    f"""select player, year, month, games_played::bigint as games_played, wins::bigint as wins, losses::bigint as losses,
+      draws::bigint as draws, {r6('win_rate')} as win_rate, {r6('avg_elo')} as avg_elo, elo_change::double as elo_change,
       most_played_opening_white, most_played_opening_black from players""",
 )
 add(
     "p38_mart_opening_analysis", ["openings"],
-    f"select * replace (games_count::int as games_count) from (select {OPENING_ROW} from openings where eco_code is not null)",
+    f"select * replace (games_count::bigint as games_count) from (select {OPENING_ROW} from openings where eco_code is not null)",
 )
 add(
     "p38_mart_time_pressure", ["pressure"],
-    "select * replace (games_count::int as games_count, evaluated_positions::int as evaluated_positions,"
-    f" blunder_count::int as blunder_count) from (select {PRESSURE_ROW} from pressure)",
+    "select * replace (games_count::bigint as games_count, evaluated_positions::bigint as evaluated_positions,"
+    f" blunder_count::bigint as blunder_count) from (select {PRESSURE_ROW} from pressure)",
 )
 add(
     "p39_enriched_results", ["staged"],
@@ -438,14 +438,14 @@ add(
 add(
     "a17_overview", ["players", "openings", "clocks", "positions"],
     """select (select count(*) from players) as player_profile_rows, (select count(*) from openings) as opening_rows,
-      (select count(*) from clocks) as time_pressure_rows, (select count(*) from positions) as evaluated_positions,
+      (select count(*) from clocks) as time_pressure_rows, (select count(cp_loss) from positions) as evaluated_positions,
       (select count(*) from positions where is_blunder) as blunders""",
 )
 add(
-    "a18_table_counts", ["players", "openings"],
+    "a18_table_counts", ["players", "openings", "positions"],
     """select 'opening_stats' as table_name, count(*) as n, 'ready' as status from openings
     union all select 'player_profiles', count(*), 'ready' from players
-    union all select 'blunder_positions', 0, 'empty'""",
+    union all select 'blunder_positions', count(*), 'ready' from positions""",
 )
 add(
     "a19_opening_kpis", ["openings"],
@@ -607,7 +607,7 @@ add(
 )
 add(
     "q08_diagnostics_cards", ["raw"],
-    f"""select batch_id || '/parser.json' as path, 'parser' as kind,
+    f"""select batch_id || '/parser/part-00000.json' as path, 'parser' as kind,
       case when missing_game_id > 0 then 'warn' else 'pass' end as status, games_seen as primary_count from ({_BATCHES})""",
 )
 add(
@@ -641,8 +641,7 @@ add(
     "e10_sampled_positions", ["positions"],
     """select game_id, ply_number, move, square, game_phase, time_control_type, year, player_elo,
       time_remaining_seconds, material_balance, is_in_check, eval_before_cp, eval_after_cp, cp_loss, is_blunder
-    from positions where ply_number <= 10
-      and ('0x' || substr(md5('11:' || game_id), 1, 8))::bigint / 4294967296.0::double < 0.02""",
+    from positions where ('0x' || substr(md5('11:' || game_id), 1, 8))::bigint / 4294967296.0::double < 0.02""",
 )
 
 # ---- learning
@@ -803,7 +802,7 @@ add(
 )
 add(
     "m27_knowledge_corpus", ["openings", "players"],
-    f"select 'concept_' || item_id as doc_id, text from benchmark union all select * from ({opening_sentences(8, 3000)})"
+    f"select 'concept_' || item_id as doc_id, text from benchmark union all select * from ({opening_sentences(8)})"
     f" union all select * from ({PLAYER_SENTENCES})",
 )
 tally(
@@ -847,7 +846,7 @@ tally(
 tally("u03_partition_scorer", ["plain"], "select game_length as ply, game_length * 10 as eval_cp from plain")
 add(
     "u04_adhoc_select", ["plain"],
-    "select result, year, count(*) as n from plain group by 1, 2 order by n desc, result, year limit 25",
+    "select result, year, count(*) as n from plain group by 1, 2 order by n desc, result, year",
 )
 tally(
     "c01_bronze_job", ["raw", "bronze"],

@@ -668,7 +668,7 @@ def _(spark, folder):
         {
             "opening_stats": opening_rows(spark, folder),
             "player_profiles": player_months(spark, folder),
-            "blunder_positions": lake.empty(spark, schemas.POSITIONS),
+            "blunder_positions": evaluated(spark, folder),
         }
     )
     return counts.withColumnRenamed("rows", "n")
@@ -868,7 +868,7 @@ def _(spark, folder):
 
 @query("q08_diagnostics_cards")
 def _(spark, folder):
-    cards = quality.diagnostics_cards(_diagnostics(spark, folder).withColumn("path", F.concat(c("batch_id"), F.lit("/parser.json"))))
+    cards = quality.diagnostics_cards(_diagnostics(spark, folder).withColumn("path", F.concat(c("batch_id"), F.lit("/parser/part-00000.json"))))
     return cards.select("path", "kind", "status", "primary_count")
 
 
@@ -889,7 +889,7 @@ def _(spark, folder):
 
 @query("e01_half_moves")
 def _(spark, folder):
-    return tally(positions.played_positions(plain_games(spark, folder), max_plies=80).select("ply_number", "move"))
+    return tally(positions.played_positions(plain_games(spark, folder), max_plies=None).select("ply_number", "move"))
 
 
 @query("e02_target_square")
@@ -936,7 +936,7 @@ def _(spark, folder):
 @query("e10_sampled_positions")
 def _(spark, folder):
     rows = positions.evaluated_positions(
-        plain_games(spark, folder), tables.evaluations(spark, folder), fraction=0.02, seed=11, max_plies=10
+        plain_games(spark, folder), tables.evaluations(spark, folder), fraction=0.02, seed=11
     )
     return rows
 
@@ -1057,7 +1057,7 @@ def _(spark, folder):
 
 @query("m26_o04_importances")
 def _(spark, folder):
-    return rounded(_blunder_model(spark, folder).importances.limit(20))
+    return rounded(_blunder_model(spark, folder).importances)
 
 
 def _outcome_training(spark, folder):

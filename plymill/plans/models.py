@@ -129,8 +129,8 @@ def player_rating_history(staged: DataFrame) -> DataFrame:
 
 
 def _mart(df: DataFrame, ddl: str) -> DataFrame:
-    """A contract with its counts and changes in the types of the marts."""
-    return df.select(*cast_to(df, ddl.replace("bigint", "int").replace("elo_change int", "elo_change double")))
+    """A contract with its changes of rating as doubles; counts stay 64 bits wide."""
+    return df.select(*cast_to(df, ddl.replace("elo_change bigint", "elo_change double").replace("elo_change int", "elo_change double")))
 
 
 def mart_player_profile(player_months: DataFrame) -> DataFrame:

@@ -5,55 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plymill import schemas
 from plymill.functions import scalars as S
 from plymill.operators import board
-from plymill.operators.keyed import hash_sample
+from plymill.operators.keyed import check_fraction, hash_order, hash_sample
 from plymill.plans.openings import moves_column
 
 BLUNDER_CP = 200
-MAX_SLOTS = 128
 
 
 def sample_games(
     games: DataFrame, fraction: float, seed: int = 42, max_games: int | None = None
 ) -> DataFrame:
-    """Games with moves, thinned by the hash of their id, then capped in hash-independent order if asked."""
+    """Games with moves, thinned by the hash of their id; ``max_games`` keeps those first in hash order."""
     playable = games.filter(F.size(moves_column(games)) > 0)
-    sampled = hash_sample(playable, "game_id", fraction, seed)
-    return sampled.orderBy("game_id").limit(max_games) if max_games is not None else sampled
+    check_fraction(fraction)
+    sampled = hash_sample(playable, "game_id", fraction, seed) if fraction < 1 else playable
+    if max_games is None:
+        return sampled
+    return sampled.orderBy(hash_order(F.col("game_id"), seed), "game_id").limit(max_games)
 
 
-def evaluations_per_game(evaluations: DataFrame, max_plies: int) -> DataFrame:
+def evaluations_per_game(evaluations: DataFrame, max_plies: int | None = None) -> DataFrame:
     """All scores of a game in one row: an array with the score after every ply from 0.
 
-    Up to ``MAX_SLOTS`` plies each ply is an aggregate of its own, so that one
-    shuffle with map-side combining does it, repeats of a ply included (the
-    smallest score counts).  Longer games collapse repeats first and then
-    collect at most ``max_plies + 1`` entries.
+    Repeats of a ply collapse first (the smallest score counts), so a list is as long as
+    its game at most.  Plies without a score are nulls.
     """
-    useful = evaluations.filter(F.col("game_id").isNotNull() & F.col("ply").between(0, max_plies))
-    if max_plies <= MAX_SLOTS:
-        slots = [F.min(F.when(F.col("ply") == i, F.col("eval_cp"))).alias(f"_{i}") for i in range(max_plies + 1)]
-        wide = useful.groupBy("game_id").agg(*slots)
-        return wide.select("game_id", F.array(*[f"_{i}" for i in range(max_plies + 1)]).alias("scores"))
+    useful = evaluations.filter(F.col("game_id").isNotNull() & (F.col("ply") >= 0))
+    if max_plies is not None:
+        useful = useful.filter(F.col("ply") <= max_plies)
     unique = useful.groupBy("game_id", "ply").agg(F.min("eval_cp").alias("eval_cp"))
-    entries = F.map_from_entries(F.collect_list(F.struct("ply", "eval_cp")))
-    mapped = unique.groupBy("game_id").agg(entries.alias("by_ply"))
-    return mapped.select(
-        "game_id",
-        F.transform(
-            F.sequence(F.lit(0), F.lit(max_plies)), lambda ply: F.try_element_at("by_ply", ply)
-        ).alias("scores"),
-    )
+    listed = unique.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("ply", "eval_cp"))).alias("entries"))
+    before = F.concat(F.array(F.lit(-1)), F.slice(F.col("entries.ply"), F.lit(1), F.size("entries") - 1))
+
+    def padded(entry: Column, last: Column) -> Column:
+        gap = F.array_repeat(F.lit(None).cast("int"), (entry["ply"] - last - 1).cast("int"))
+        return F.concat(gap, F.array(entry["eval_cp"].cast("int")))
+
+    return listed.select("game_id", F.flatten(F.zip_with("entries", before, padded)).alias("scores"))
 
 
-def played_positions(games: DataFrame, max_plies: int = 80, carry: tuple[str, ...] = ()) -> DataFrame:
+def played_positions(games: DataFrame, max_plies: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per half-move with everything the move array and clocks can tell."""
-    moves = F.slice(F.col(moves_column(games)), 1, max_plies)
+    moves = F.col(moves_column(games))
+    moves = moves if max_plies is None else F.slice(moves, 1, max_plies)
     inputs = games.select(
         "game_id",
         moves.alias("moves"),
@@ -91,7 +90,7 @@ def evaluated_positions(
     fraction: float = 1.0,
     seed: int = 42,
     max_games: int | None = None,
-    max_plies: int = 80,
+    max_plies: int | None = None,
     threshold_cp: int = BLUNDER_CP,
 ) -> DataFrame:
     """Positions with the mover's evaluation before and after, the loss and the blunder flag.
@@ -100,6 +99,8 @@ def evaluated_positions(
     rows are never shuffled.  A half-move without both scores keeps nulls.
     """
     chosen = sample_games(games, fraction, seed, max_games)
+    if fraction < 1:
+        evaluations = hash_sample(evaluations, "game_id", fraction, seed)
     scored = chosen.join(evaluations_per_game(evaluations, max_plies), "game_id", "left")
     view = F.when(F.col("ply_number") % 2 == 1, 1).otherwise(-1)
     loss = F.col("eval_before_cp") - F.col("eval_after_cp")

@@ -198,7 +198,7 @@ def board_grid(heatmap: DataFrame, value: str = "blunders") -> DataFrame:
 
 def overview(players: DataFrame, openings: DataFrame, time_pressure: DataFrame, positions: DataFrame) -> DataFrame:
     """One row of totals; each table is aggregated once, on its own."""
-    quality = positions.agg(F.struct(F.count("*").alias("n"), F.count_if("is_blunder").alias("bad")).alias("q"))
+    quality = positions.agg(F.struct(F.count("cp_loss").alias("n"), F.count_if("is_blunder").alias("bad")).alias("q"))
 
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count("*").alias("n")).scalar()

@@ -32,10 +32,10 @@ def clock_histogram(games: DataFrame) -> DataFrame:
 
 
 def position_quality(positions: DataFrame) -> DataFrame:
-    """Evaluated positions per bucket: volume, blunders, mean loss, blunder rate."""
+    """Positions with both scores per bucket: volume, blunders, mean loss, blunder rate."""
     dated = with_defaults(positions, {"year": F.lit(None).cast("int")})
     return (
-        dated.filter(F.col("time_remaining_seconds").isNotNull())
+        dated.filter(F.col("time_remaining_seconds").isNotNull() & F.col("cp_loss").isNotNull())
         .withColumn("time_remaining_bucket", S.time_left_bucket(F.col("time_remaining_seconds")))
         .groupBy(*KEYS)
         .agg(

@@ -147,4 +147,7 @@ def test_sql_functions(spark):
     assert list(row) == ["white_win", None, "1400-1600", "2200+", [5, 5], ["e4", "e5"], "endgame", "timeout", []]
     with pytest.raises(ValueError):
         sqlfuncs.run_select(spark, "drop table x")
+    spark.sql("create or replace temporary view written_to as select 1 as a")
+    with pytest.raises(ValueError):
+        sqlfuncs.run_select(spark, "with t as (select 1 as a) insert into written_to select a from t")
     assert sqlfuncs.run_select(spark, "with a as (select 1 as x) select * from a").count() == 1

@@ -64,7 +64,7 @@ def test_ply_cap_and_phases(spark):
     assert [rows[i]["game_phase"] for i in (19, 20, 59, 60)] == ["opening", "middlegame", "middlegame", "endgame"]
 
 
-@pytest.mark.parametrize("max_plies", [80, 200])
+@pytest.mark.parametrize("max_plies", [None, 200])
 def test_loss_and_blunder(spark, max_plies):
     games = spark.createDataFrame(
         [("g", ["e4", "e5", "Nf3"], [5], "blitz", 2024, 1500, 1600), ("h", [], [], "blitz", 2024, 1, 2)], GAME
@@ -92,3 +92,19 @@ def test_sampling(spark):
     for wrong in (0, -1, 1.5):
         with pytest.raises(ValueError):
             positions.sample_games(games, wrong)
+
+
+def test_whole_games_and_scored_counts(spark):
+    """Moves past the 80th stay; a half-move without both scores is no evaluated position."""
+    from plymill.plans import time_pressure
+
+    moves = ["Nf3", "Nf6", "Ng1", "Ng8"] * 25
+    game = [("g", moves, list(range(100, 0, -1)), "blitz", 2020, 1500, 1600)]
+    games = spark.createDataFrame(
+        game, "game_id string, moves_san array<string>, clock_seconds array<int>, time_control_type string, year int, white_elo int, black_elo int"
+    )
+    scores = spark.createDataFrame([("g", i, 10 * i) for i in range(101) if i != 50], "game_id string, ply int, eval_cp int")
+    rows = positions.evaluated_positions(games, scores)
+    assert rows.count() == 100 and rows.where("cp_loss is null").count() == 2
+    assert rows.where("ply_number = 100").first()["eval_after_cp"] == -1000
+    assert sum(r.evaluated_positions for r in time_pressure.position_quality(rows).collect()) == 98

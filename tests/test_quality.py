@@ -92,7 +92,7 @@ def test_drift(spark):
 
 
 def test_diagnostics_cards(spark):
-    rows = [("q/parser.json", 0, 0.99, 3, None), ("q/silver_quality.json", 0, 0.5, None, 7), ("q/bronze.json", 2, None, None, 5), ("x.json", None, None, None, None)]
+    rows = [("q/parser.json", 0, 0.99, 3, None), ("q/silver_quality.json", 0, 0.5, None, 7), ("q/bronze/part-0.json", 2, None, None, 5), ("x.json", None, None, None, None)]
     frame = spark.createDataFrame(rows, "path string, duplicate_game_ids int, retention double, games_seen int, output_count int")
     cards = {r["path"]: r for r in quality.diagnostics_cards(frame).collect()}
     assert [(cards[p[0]]["kind"], cards[p[0]]["status"], cards[p[0]]["primary_count"]) for p in rows] == [
