@@ -477,7 +477,7 @@ _filtered("c02_silver_all_filters", exclude_bots=True, exclude_unrated=True, dro
 
 @query("f06_batch_and_month")
 def _(spark, folder):
-    before, after = quality.select_partitions(
+    before, after = quality.scope(
         bronze(spark, folder), plain_games(spark, folder), batch_id="1997-05", month="1997-05"
     )
     counts = after.agg(F.count("*").alias("silver_count"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
@@ -60,11 +61,15 @@ def write_partitions(df: DataFrame, path: str, *keys: str) -> None:
     gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
+def in_month(month: str) -> Column:
+    """Predicate on the partition columns year and month for one ``yyyy-MM``."""
+    first = datetime.strptime(month, "%Y-%m")
+    return (F.col("year") == first.year) & (F.col("month") == first.month)
+
+
 def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
     """One ``yyyy-MM`` of a table partitioned by year and month (pruned, not path-joined)."""
-    year, number = month.split("-", 1)
-    df = spark.read.parquet(path)
-    return df.filter((F.col("year") == int(year)) & (F.col("month") == int(number)))
+    return spark.read.parquet(path).filter(in_month(month))
 
 
 def read_opening_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -56,7 +56,7 @@ def test_gate_volume(spark):
     none = silver(spark).limit(0)
     assert failure(spark, bronze(spark), none) == "bronze contains 0 rows"
     quality.enforce(quality.gate_checks(quality.gate_metrics(bronze(spark), none), allow_empty=True))
-    with pytest.raises(quality.QualityError, match="missing required columns: game_date"):
+    with pytest.raises(quality.QualityError, match="cannot be checked without: game_date"):
         quality.gate_metrics(bronze(spark, "g1"), silver(spark).drop("game_date"))
 
 
