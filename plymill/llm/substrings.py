@@ -75,8 +75,9 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, anchor: int = ANCHOR)
     )
     lost = cuts.unionByName(copies).groupBy("c_id").agg(F.flatten(F.collect_list("cuts")).cast(CUTS).alias("cuts"))
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    keyed = ided.select(row, docs["doc_id"].alias("d_id"))
-    joined = keyed.join(lost, F.col("d_id") == F.col("c_id"), "left").select("row", "cuts")
+    # the texts are dealt by id as for the windows, so that one shuffle of them serves both
+    joined = ided.join(lost, ided["doc_id"] == lost["c_id"], "left")
+    joined = joined.select(F.struct(*[ided[c] for c in docs.columns]).alias("row"), lost["cuts"].alias("cuts"))
     free = docs.where("doc_id is null").select(row, F.lit(None).cast(CUTS).alias("cuts"))
     both = joined.union(free)
     result = F.arrow_udf(_kept, "struct<n_words:long,n_removed:long,kept:string>")(F.col("row")["text"].cast("binary"), F.col("cuts"))
