@@ -55,6 +55,8 @@ def minimisers(piece: Slice, words: np.ndarray, width: int, k: int) -> tuple[np.
 
 
 def _anchor_blocks(docs: DataFrame, width: int, k: int, buckets: int) -> DataFrame:
+    """Minimisers by bucket; 32 bits tell the keys of one apart, as a wrong match only adds windows to compare."""
+
     def made(batches):
         for piece in slices(batches, lower=False):
             words = piece.hashes()
@@ -71,10 +73,10 @@ def _anchor_blocks(docs: DataFrame, width: int, k: int, buckets: int) -> DataFra
                     buckets_of(gram[at], buckets),
                     owner,
                     {"sid": sid.view(np.int64)},
-                    {"key": gram[at].view(np.int64), "pos": (at - piece.offset[owner]).astype(np.int32)},
+                    {"key": gram[at].astype(np.uint32).view(np.int32), "pos": (at - piece.offset[owner]).astype(np.int32)},
                 )
 
-    kind = "bucket int, sid array<long>, owner array<short>, key array<long>, pos array<int>"
+    kind = "bucket int, sid array<long>, owner array<short>, key array<int>, pos array<int>"
     return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(made, kind)
 
 
