@@ -12,6 +12,9 @@ training text everything is ``und``.
 
 from __future__ import annotations
 
+import functools
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,15 +35,19 @@ def letter_vectors(codes: np.ndarray, size: int = SIZE) -> np.ndarray:
     return np.stack([np.random.default_rng([SEED, int(c)]).choice([-1, 1], size) for c in codes]).astype(np.float32)
 
 
+@functools.cache
+def letter_table() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(sys.maxunicode + 1)], bool)
+
+
 def clean(text: str) -> np.ndarray:
     """Code points: lower-cased letters, single spaces for the rest, a space at both ends; empty without letters."""
-    text = text.lower()
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    kinds, back = np.unique(codes, return_inverse=True)
-    letter = np.array([chr(c).isalpha() for c in kinds.tolist()], bool)
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = letter_table()[codes]
     if not letter.any():
         return np.zeros(0, np.uint32)
-    codes = np.concatenate([[32], np.where(letter, kinds, 32)[back], [32]]).astype(np.uint32)
+    codes = np.concatenate([[32], np.where(letter, codes, 32), [32]]).astype(np.uint32)
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != 32) | (codes[:-1] != 32)
     return codes[keep]
@@ -66,55 +73,58 @@ class Profiles:
     def __init__(self):
         self.seen: dict[int, np.ndarray] = {}
 
-    def grams(self, held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(document, gram, times) of a group, where ``gram`` indexes the rows of the last array, its letters."""
-        codes = np.concatenate(held)
-        sizes = np.array([len(h) for h in held])
-        letters, index = np.unique(codes, return_inverse=True)
-        owner = np.repeat(np.arange(len(held)), sizes)
-        room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
-        start = np.flatnonzero(room >= ORDER)
-        width = max(len(letters), 1)
-        gram = np.zeros(len(start), np.int64)
-        for k in range(ORDER):
-            gram = gram * width + index[start + k]
-        kinds, gram = np.unique(gram, return_inverse=True)
-        pair, times = np.unique(owner[start] * max(len(kinds), 1) + gram, return_counts=True)
-        places = np.stack([kinds // width**k % width for k in range(ORDER - 1, -1, -1)], axis=1)
-        return pair // max(len(kinds), 1), pair % max(len(kinds), 1), times, letters[places]
-
-    def vectors(self, letters: np.ndarray) -> np.ndarray:
-        kinds, index = np.unique(letters, return_inverse=True)
-        fresh = [c for c in kinds.tolist() if c not in self.seen]
+    def vectors(self, letters: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """The vector of each n-gram, whose letters ``places`` are rows of ``letters``."""
+        fresh = [c for c in letters.tolist() if c not in self.seen]
         if fresh:
             if len(self.seen) > 50_000:
                 self.seen.clear()
-                fresh = kinds.tolist()
+                fresh = letters.tolist()
             self.seen.update(zip(fresh, letter_vectors(np.array(fresh)), strict=True))
-        table = np.stack([self.seen[c] for c in kinds.tolist()])
-        index = index.reshape(letters.shape)
-        out = np.ones((len(letters), SIZE), np.float32)
-        for k in range(ORDER):
-            out *= np.roll(table, ORDER - 1 - k, axis=1)[index[:, k]]
+        table = np.stack([self.seen[c] for c in letters.tolist()])
+        out = table[places[:, -1]]
+        for k in range(ORDER - 1):
+            out *= np.roll(table, ORDER - 1 - k, axis=1)[places[:, k]]
         return out
 
-    def bundle(self, held: list[np.ndarray]) -> np.ndarray:
-        """The bundle of each document; a block of grams at a time."""
-        out = np.zeros((len(held), SIZE), np.float64)
-        if not sum(len(h) for h in held):
+    def bundle(self, held: list[np.ndarray], owner: np.ndarray | None = None) -> np.ndarray:
+        """The bundle of each document, or of the documents with each number in ``owner``; a block of n-grams at a time."""
+        owner = np.arange(len(held)) if owner is None else owner
+        owners = int(owner.max(initial=-1)) + 1
+        out = np.zeros((owners, SIZE), np.float64)
+        sizes = np.array([len(h) for h in held])
+        if not sizes.sum():
             return out
-        doc, gram, times, letters = self.grams(held)
-        order = np.argsort(gram, kind="stable")
-        doc, gram, times = doc[order], gram[order], times[order]
-        for a in range(0, len(letters), COLUMNS):
-            lo, hi = np.searchsorted(gram, [a, a + COLUMNS])
-            part = letters[a : a + COLUMNS]
-            counts = np.zeros((len(held), len(part)), np.float32)
-            counts[doc[lo:hi], gram[lo:hi] - a] = times[lo:hi]
-            out += counts @ self.vectors(part)
+        codes = np.concatenate(held)
+        letters, index = numbered(codes)
+        room = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(codes))
+        start = np.flatnonzero(room >= ORDER)
+        gram = np.zeros(len(start), np.int64)
+        for k in range(ORDER):
+            gram = gram * len(letters) + index[start + k]
+        kinds, gram = numbered(gram)
+        places = np.stack([kinds // len(letters) ** k % len(letters) for k in range(ORDER - 1, -1, -1)], axis=1)
+        owner = np.repeat(owner, sizes)[start]
+        exact = np.float32 if len(codes) < 1 << 24 else np.float64
+        for a in range(0, len(kinds), COLUMNS):
+            part = places[a : a + COLUMNS]
+            here = slice(None) if len(kinds) <= COLUMNS else (gram >= a) & (gram < a + COLUMNS)
+            cell = owner[here] * len(part) + (gram[here] - a)
+            counts = np.bincount(cell, minlength=owners * len(part)).astype(exact).reshape(owners, len(part))
+            out += counts @ self.vectors(letters, part)
         return out
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and the place of each value among them; by a table where the range is short."""
+    top = int(values.max(initial=0))
+    if top > 1 << 22:
+        return np.unique(values, return_inverse=True)
+    found = np.zeros(top + 1, bool)
+    found[values] = True
+    return np.flatnonzero(found), (np.cumsum(found) - 1)[values]
+
+
 def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
     """The bundle of all texts of each ``lang`` of ``training(lang, text)``; one vector per language is collected."""
 
@@ -123,18 +133,17 @@ def prototypes(training: DataFrame) -> dict[str, np.ndarray]:
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for first, held in groups(batch.column("text")):
-                own = langs[first : first + len(held)]
-                for lang in set(own):
-                    mine = [h for h, x in zip(held, own, strict=True) if x == lang and len(h)]
-                    if mine:
-                        merged = profiles.bundle([np.concatenate(mine)])  # texts end in a space, so joints are spaces
-                        total[lang] = total.get(lang, 0) + np.rint(merged[0]).astype(np.int64)
+                names, owner = np.unique(np.array(langs[first : first + len(held)], object), return_inverse=True)
+                merged = np.rint(profiles.bundle(held, owner)).astype(np.int64)
+                for lang, vector in zip(names.tolist(), merged, strict=True):
+                    if vector.any():
+                        total[lang] = total.get(lang, 0) + vector
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.int64()))],
             ["lang", "bundle"],
         )
 
-    parts = training.select("lang", "text").mapInArrow(bundled, "lang string, bundle array<long>")
+    parts = training.select("lang", "text").where("lang is not null").mapInArrow(bundled, "lang string, bundle array<long>")
     summed = parts.select("lang", F.posexplode("bundle").alias("place", "x")).groupBy("lang", "place").agg(F.sum("x").alias("x"))
     out: dict[str, np.ndarray] = {}
     for lang, place, x in summed.collect():
