@@ -1003,7 +1003,7 @@ def _(spark, folder):
 @query("m05_one_hot")
 def _(spark, folder):
     frame = prep.impute_levels(_outcomes(spark, folder), frames.OUTCOME_CATEGORIES)
-    coded = prep.encoder(["year"], ["eco_code", "time_control_type"]).fit(frame).transform(frame)
+    coded = prep.encoder(["year"], frames.OUTCOME_CATEGORIES).fit(frame).transform(frame)
     width = F.size(vector_to_array("features")).alias("width")
     return tally(coded.select("eco_code", "time_control_type", width))
 
@@ -1151,7 +1151,7 @@ def _(spark, folder):
 
 @query("m21_cluster_sweep")
 def _(spark, folder):
-    return rounded(cluster.sweep(cluster.scaled(_style_table(spark, folder)), 3, 5))
+    return rounded(cluster.sweep(cluster.scaled(_style_table(spark, folder))))
 
 
 @query("m23_cluster_profiles")

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plymill.operators.keyed import exact_medians, heaviest, join_dimension
 
 RARE_LEVEL = "__infrequent__"
+FILLED = "_filled"
 
 
 def medians(frame: DataFrame, columns: list[str]) -> dict[str, float]:
@@ -30,6 +31,32 @@ def most_frequent_levels(frame: DataFrame, columns: list[str]) -> DataFrame:
     return counted.groupBy("feature").agg(heaviest("level", "n").alias("level"))
 
 
+def common_levels(frame: DataFrame, column: str, instead: str, min_count: int) -> list[str]:
+    """Levels of at least ``min_count`` rows, where nulls count as ``instead``."""
+    level = F.coalesce(F.col(column), F.lit(instead)).alias("level")
+    counted = frame.groupBy(level).agg(F.count("*").alias("n")).filter(F.col("n") >= min_count)
+    return sorted(row["level"] for row in counted.collect())
+
+
+def filler(numbers: dict[str, float], levels: dict[str, str], common: dict[str, list[str]] | None = None) -> SQLTransformer:
+    """Pipeline stage that adds ``<name>_filled``: nulls replaced, levels outside ``common`` folded.
+
+    Saved with the model, so that raw rows with nulls or new levels can be scored.
+    """
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    columns = [f"coalesce(cast(`{c}` AS double), {float(v)!r}D) AS `{c}{FILLED}`" for c, v in numbers.items()]
+    for c, instead in levels.items():
+        value = f"coalesce(cast(`{c}` AS string), {quoted(instead)})"
+        if common is not None:
+            known = ", ".join(map(quoted, common[c])) or "NULL"
+            value = f"CASE WHEN {value} IN ({known}) THEN {value} ELSE {quoted(RARE_LEVEL)} END"
+        columns.append(f"{value} AS `{c}{FILLED}`")
+    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+
+
 def impute_levels(frame: DataFrame, columns: list[str], fitted_on: DataFrame | None = None) -> DataFrame:
     source = fitted_on if fitted_on is not None else frame
     levels = {row["feature"]: row["level"] for row in most_frequent_levels(source, columns).collect()}

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plymill.ml import cluster, frames, metrics, prep, train
@@ -88,6 +89,26 @@ def test_blunder_training(spark):
     assert trained.importances.count() > 6
 
 
+def test_saved_model_scores_raw_rows(spark, tmp_path):
+    use_checkpoints(spark)
+    rows = blunders(spark, 200)
+    trained = train.train_blunder(rows, "row_id", trees=3)
+    trained.model.save(str(tmp_path / "model"))
+    loaded = PipelineModel.load(str(tmp_path / "model"))
+    number, level = frames.BLUNDER_NUMERIC[1], frames.BLUNDER_CATEGORIES[0]
+    bare = rows.withColumn(number, F.lit(None).cast("double")).withColumn(level, F.lit("it's new"))
+    scored = train.score_blunders(loaded, bare)
+    assert scored.columns == [*bare.columns, "score", "prediction"]
+    assert scored.filter(f"score between 0 and 1 and {number} is null").count() == rows.count()
+
+
+def test_filler_folds_and_quotes(spark):
+    frame = spark.createDataFrame([(1, "a\\'b"), (2, None), (None, "rare")], "n int, level string")
+    stage = prep.filler({"n": 5.0}, {"level": "a\\'b"}, {"level": ["a\\'b"]})
+    rows = {(r["n_filled"], r["level_filled"]) for r in stage.transform(frame).collect()}
+    assert rows == {(1.0, "a\\'b"), (2.0, "a\\'b"), (5.0, prep.RARE_LEVEL)}
+
+
 def test_outcome_training(spark):
     names = frames.OUTCOME_NUMERIC + frames.OUTCOME_PLAYED
     frame = spark.range(150).select(
