@@ -251,7 +251,7 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     tokens = placed.select("token", "sid", "own", "n", (F.col("n") - F.round(F.col("own") * F.col("n")) - F.col("place")).cast("long").alias("left"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
     rows = stored(tokens.join(shared, "token"), "prefixes")
-    edges, labels = None, None
+    labels = None
     for turn in range(PIVOT_ROUNDS + 1):
         if labels is not None:
             known = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
@@ -273,10 +273,11 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             other = current.select("token", *[F.col(c).alias(f"o_{c}") for c in ("sid", "root", "n", "left")])
             pairs = current.join(other, "token").where("sid < o_sid and root <> o_root")
             pairs = pairs.where(_can_link("", "o_", threshold)).select(F.col("sid").alias("a"), F.col("o_sid").alias("b"))
-        fresh = _verified(pairs.distinct(), found, threshold)
-        old = None if labels is None else labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        edges = stored(fresh if old is None else fresh.union(old), "links")
-        labels = components(edges)
+        fresh = stored(_verified(pairs.distinct(), found, threshold), "links")
+        if labels is None:
+            labels = components(fresh)
+        elif not fresh.isEmpty():
+            labels = components(fresh.union(labels.select(F.col("node").alias("a"), F.col("root").alias("b"))))
     return labels
 
 
