@@ -158,12 +158,12 @@ def present(df: DataFrame, ddl: str) -> DataFrame:
 def register_views(spark: SparkSession, root: str) -> list[str]:
     """Temporary views over the lake tables and their presentation twins.
 
-    Absent tables become typed empty views.  Returns the names with data files.
+    Absent tables become typed empty views.  Returns the names with rows.
     """
     found = []
     for name, (folder, ddl, defaults) in LAKE_VIEWS.items():
         df = read_or_empty(spark, f"{root.rstrip('/')}/{folder}", ddl)
-        if df.inputFiles():
+        if not df.isEmpty():
             found.append(name)
         with_defaults(df, {key: F.expr(rule) for key, rule in defaults.items()}).createOrReplaceTempView(name)
     for name, (base, ddl) in ANALYTICS_VIEWS.items():
