@@ -48,6 +48,15 @@ def deal(bucket: np.ndarray, owner: np.ndarray, header: dict, entries: dict) ->
     return pa.RecordBatch.from_pydict(columns)
 
 
+def pack(bucket: np.ndarray, entries: dict) -> pa.RecordBatch:
+    """Rows ``(bucket, <entry arrays>)`` of entries without owners."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    row = np.concatenate([np.flatnonzero(runs(bucket)), [len(bucket)]])
+    columns = {"bucket": pa.array(bucket[row[:-1]].astype(np.int32))}
+    return pa.RecordBatch.from_pydict(columns | {name: _lists(values[order], row) for name, values in entries.items()})
+
+
 def gather(table: pa.Table, header: list[str], entries: list[str]) -> dict[str, np.ndarray]:
     """All entries of a group as flat arrays; ``owner`` counts the headers of the whole group."""
     out = {}

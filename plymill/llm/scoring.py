@@ -7,13 +7,16 @@ fall into buckets by powers of two, and each bucket's weights come from
 expectation-maximisation on counts of a held-out seventh of the training texts, against
 estimates from the other training texts.  The final estimates use all training texts.
 
-A context is the word before, if it is one of the CONTEXTS most frequent words of the
-training texts, else one common class; the start of a text is a context too.  Unigram
-counts, token totals and the number of types cover all words.
+A context is the word before, whatever its frequency, or the start of a text.  A word that
+the training texts lack counts as a context seen 0 times.
 
-Tokens are dealt in blocks: rare ones by word, frequent ones (whose totals all tasks
-know) by word and context, so no word fills one block.  The blocks are shuffled once and
-read twice, for the weights and for the scores.
+Tokens are dealt in blocks.  The CONTEXTS most frequent words have their totals known to all
+tasks and are dealt by word and context, so no word fills one block.  Other words are dealt
+by word, and a frequent word after another one by the context; so a block's group holds all
+entries of a pair and of a rare word.  The totals of rare contexts are joined to the blocks
+by a shuffle: each goes to the block of its own word, and to those blocks of rare words that
+ask for it.  Results do not depend on CONTEXTS.  The blocks are shuffled once and read
+twice, for the weights and for the scores.
 
 Texts with equal token sequences share one score.  Null and blank texts are a lone end.
 Rows without ``doc_id`` count as training; repeated rows count each time.  Without
@@ -27,10 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plymill.llm.blocks import bucket_count, buckets_of, deal, gather, runs
+from plymill.llm.blocks import bucket_count, buckets_of, deal, gather, pack, runs
 from plymill.llm.graphs import small_batches, stored
 from plymill.llm.words import Slice, mix, slices, spans
 
+#: So many words are dealt by pair, as one of them could fill a block; this bounds what all tasks know, not the contexts.
 CONTEXTS = 32_000
 ENTRIES = 4_000_000
 END = np.uint64(0x0E0F)
@@ -89,29 +93,36 @@ def unigrams(docs: DataFrame) -> DataFrame:
 
 
 class Contexts:
-    """The frequent words with their counts, and the counts of all contexts."""
+    """The frequent words with their counts, and the count of the start."""
 
-    def __init__(self, rows: list[tuple[int, int, int]], words: tuple[int, int], texts: tuple[int, int]):
+    def __init__(self, rows: list[tuple[int, int, int]], texts: tuple[int, int]):
         token = np.array([r[0] for r in rows], np.int64).view(np.uint64)
         order = np.argsort(token)
         self.token = token[order]
         self.counts = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)[order]
-        rest = np.array(words) - self.counts[self.token != END].sum(axis=0)
         self.rare, self.start = len(rows), len(rows) + 1
-        self.seen = np.concatenate([self.counts, [rest], [texts]]).astype(np.int64)
+        self.seen = np.concatenate([self.counts, [(0, 0)], [texts]]).astype(np.int64)
 
     def find(self, found: np.ndarray) -> np.ndarray:
-        """Place of each token, or the class of the others."""
+        """Place of each token, or that of all rare ones."""
         if not len(self.token):
             return np.full(len(found), self.rare, np.int64)
         at = np.minimum(np.searchsorted(self.token, found), len(self.token) - 1)
         return np.where(self.token[at] == found, at, self.rare)
 
-    def bucket(self, context: np.ndarray, column: int) -> np.ndarray:
-        """Frequency bucket of each context; the class of rare words and the start have their own."""
-        level = np.floor(np.log2(self.seen[:, column] + 1.0)).astype(np.int64)
-        level[self.rare], level[self.start] = 62, 63
-        return level[context]
+
+def _neighbours(token: np.ndarray, offset: np.ndarray, contexts: Contexts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each token: its place, the place of its context, and the word before."""
+    place = contexts.find(token)
+    near, before = np.empty(len(token), np.int64), np.zeros(len(token), np.uint64)
+    near[1:], before[1:] = place[:-1], token[:-1]
+    near[offset[:-1]] = contexts.start
+    return place, near, before
+
+
+def _far(word: np.ndarray) -> np.ndarray:
+    """48 bits of a rare context, the upper 32 of them never all zero, which marks frequent ones."""
+    return (np.maximum(word >> np.uint64(16) & np.uint64(0xFFFFFFFF), np.uint64(1)) << np.uint64(16)) | (word & np.uint64(0xFFFF))
 
 
 def _blocks(docs: DataFrame, contexts: Contexts, buckets: int) -> DataFrame:
@@ -127,32 +138,67 @@ def _blocks(docs: DataFrame, contexts: Contexts, buckets: int) -> DataFrame:
             once = np.zeros(len(sid), bool)
             once[first] = True
             owner = np.repeat(np.arange(len(sid)), np.diff(offset))
-            place = contexts.find(token)
-            context = np.empty(len(token), np.int64)
-            context[1:] = place[:-1]
-            context[offset[:-1]] = contexts.start
             use = once[owner]
-            token, owner, place, context = token[use], owner[use], place[use], context[use]
-            dealt = np.where(place == contexts.rare, token, mix(token ^ context.astype(np.uint64), 5))
+            place, near, before = (x[use] for x in _neighbours(token, offset, contexts))
+            token, owner = token[use], owner[use]
+            rare = near == contexts.rare
+            context = np.where(rare, _far(before), near.astype(np.uint64))
+            dealt = np.where(place == contexts.rare, token, np.where(rare, before, mix(token ^ near.astype(np.uint64), 5)))
             yield deal(
                 buckets_of(dealt, buckets),
                 owner,
                 {"sid": sid.view(np.int64), **many},
-                {"high": (token >> np.uint64(16)).astype(np.uint32).view(np.int32), "low": token.astype(np.uint16).view(np.int16), "context": context.astype(np.int16)},
+                {"high": (token >> np.uint64(16)).astype(np.uint32).view(np.int32), "low": token.astype(np.uint16).view(np.int16), "far": (context >> np.uint64(16)).astype(np.uint32).view(np.int32), "near": context.astype(np.uint16).view(np.int16)},
             )
 
-    kind = "bucket int, sid array<long>, core array<short>, fold array<short>, owner array<short>, high array<int>, low array<short>, context array<short>"
+    kind = "bucket int, sid array<long>, core array<short>, fold array<short>, owner array<short>, high array<int>, low array<short>, far array<int>, near array<short>"
     return docs.select("text", "kind").mapInArrow(made, kind)
 
 
+def _context_counts(docs: DataFrame, counts: DataFrame, contexts: Contexts, buckets: int) -> DataFrame:
+    """(bucket, word, n, core): counts of rare words, at their own bucket and at those of the rare words that follow them."""
+
+    def asked(batches):
+        for piece in slices(batches, lower=True):
+            token, offset = tokens(piece)
+            place, near, before = _neighbours(token, offset, contexts)
+            use = (place == contexts.rare) & (near == contexts.rare)
+            word, to = before[use], buckets_of(token[use], buckets)
+            other = buckets_of(word, buckets) != to
+            both = np.unique(np.stack([word[other].view(np.int64), to[other]]), axis=1)
+            yield pack(buckets_of(both[0].view(np.uint64), buckets), {"word": both[0], "to": both[1].astype(np.int32)})
+
+    schema = pa.schema({"bucket": pa.int32(), **{c: pa.list_(pa.int64()) for c in ("word", "n", "core")}})
+
+    def answered(want: pa.Table, have: pa.Table) -> pa.Table:
+        if not have.num_rows:
+            return schema.empty_table()
+        word, n, core = (have.column(c).to_numpy() for c in ("token", "n", "core"))
+        order = np.argsort(word)
+        word, n, core = word[order], n[order], core[order]
+        own = np.flatnonzero(contexts.find(word.view(np.uint64)) == contexts.rare)
+        at, to = own, np.full(len(own), buckets_of(word[:1].view(np.uint64), buckets)[0])
+        if want.num_rows:
+            wanted = np.unique(np.stack([want.column(c).combine_chunks().flatten().to_numpy() for c in ("word", "to")]), axis=1)
+            found = np.minimum(np.searchsorted(word, wanted[0]), len(word) - 1)
+            hit = word[found] == wanted[0]
+            at, to = np.concatenate([at, found[hit]]), np.concatenate([to, wanted[1][hit]])
+        return pa.Table.from_batches([pack(to, {"word": word[at], "n": n[at], "core": core[at]})]).cast(schema)
+
+    want = docs.select("text").mapInArrow(asked, "bucket int, word array<long>, to array<int>")
+    have = counts.withColumn("bucket", F.pmod(F.shiftrightunsigned("token", 48), F.lit(buckets)).cast("int"))
+    return want.groupBy("bucket").cogroup(have.groupBy("bucket")).applyInArrow(answered, "bucket int, word array<long>, n array<long>, core array<long>")
+
+
 class _Group:
-    """The entries of a bucket, sorted by token and context, with their counts."""
+    """The entries of a bucket, sorted by token and context, with their counts; ``facts`` has the counts of rare contexts."""
 
-    def __init__(self, table: pa.Table, contexts: Contexts):
-        got = gather(table, ["sid", "core", "fold"], ["high", "low", "context"])
+    def __init__(self, table: pa.Table, facts: pa.Table, contexts: Contexts):
+        got = gather(table, ["sid", "core", "fold"], ["high", "low", "far", "near"])
         token = (got["high"].view(np.uint32).astype(np.int64) << 16) | got["low"].view(np.uint16)
-        order = np.lexsort((got["context"], token))
-        self.token, self.context, self.owner = token[order], got["context"][order].astype(np.int64), got["owner"][order]
+        context = (got["far"].view(np.uint32).astype(np.int64) << 16) | got["near"].view(np.uint16)
+        order = np.lexsort((context, token))
+        self.token, self.context, self.owner = token[order], context[order], got["owner"][order]
         self.core, self.fold = got["core"].astype(np.int64), got["fold"].astype(np.int64)
         self.sid = got["sid"]
         new, both = runs(self.token), runs(self.token, self.context)
@@ -163,12 +209,33 @@ class _Group:
         at = rank[np.minimum(np.searchsorted(known[rank], here), max(len(rank) - 1, 0))] if len(rank) else np.zeros(len(here), np.int64)
         self.listed = known[at] == here if len(rank) else np.zeros(len(here), bool)
         self.place = at
-
-    def counts(self, weight: np.ndarray, contexts: Contexts, column: int) -> tuple[np.ndarray, np.ndarray]:
+        self.contexts = contexts
+        self.rare = self.context >> 16 > 0
+        word, *totals = (facts.column(c).combine_chunks().flatten().to_numpy() for c in ("word", "n", "core"))
+        word = _far(word.view(np.uint64)).astype(np.int64)
+        order = np.argsort(word)
+        self.others, self.totals = word[order], [x[order] for x in totals]
+
+    def seen(self, column: int) -> np.ndarray:
+        """How often each entry's context was seen."""
+        out = np.zeros(len(self.context), np.int64)
+        out[~self.rare] = self.contexts.seen[self.context[~self.rare], column]
+        if len(self.others):
+            own = self.context[self.rare]
+            at = np.minimum(np.searchsorted(self.others, own), len(self.others) - 1)
+            out[self.rare] = np.where(self.others[at] == own, self.totals[column][at], 0)
+        return out
+
+    def level(self, seen: np.ndarray) -> np.ndarray:
+        """Frequency bucket of each entry's context; the start has its own."""
+        level = np.floor(np.log2(seen + 1.0)).astype(np.int64)
+        return np.where(self.context == self.contexts.start, 63, level)
+
+    def counts(self, weight: np.ndarray, column: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each entry: its token's count, and its token's count after its context."""
         w = weight[self.owner].astype(np.float64)
         word = np.bincount(self.word, weights=w)
-        word[self.listed] = contexts.counts[self.place[self.listed], column]
+        word[self.listed] = self.contexts.counts[self.place[self.listed], column]
         return word[self.word], np.bincount(self.pair, weights=w)[self.pair]
 
 
@@ -209,20 +276,24 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     ends = counts.where(F.col("token") == int(END)).agg(F.sum("n"), F.sum("core")).first()
     ends = (ends[0] or 0, ends[1] or 0)
     top = counts.orderBy(F.desc("n"), "token").limit(CONTEXTS).collect()
-    contexts = Contexts([tuple(r) for r in top], (total - ends[0], core - ends[1]), ends)
+    contexts = Contexts([tuple(r) for r in top], ends)
     buckets = bucket_count(total * 7 // 6 + 1, ENTRIES)
     blocks = _blocks(rows, contexts, buckets)
+    facts = _context_counts(rows, counts, contexts, buckets)
     even = 1.0 / (types + 1)
 
-    def histogram(table: pa.Table) -> pa.Table:
-        group = _Group(table, contexts)
-        word, pair = group.counts(group.core, contexts, 1)
+    def histogram(table: pa.Table, found: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.schema({"key": pa.int64(), "n": pa.int64()}).empty_table()
+        group = _Group(table, found, contexts)
+        word, pair = group.counts(group.core, 1)
+        seen = group.seen(1)
         times = group.fold[group.owner]
         use = times > 0
-        p2, p1 = _ratio(pair, contexts.seen[group.context, 1]), word / max(core, 1)
+        p2, p1 = _ratio(pair, seen), word / max(core, 1)
         with np.errstate(divide="ignore"):
             q = [np.where(p > 0, np.rint(np.log2(p) * STEPS), _NONE).astype(np.int64)[use] for p in (p2, p1)]
-        level = contexts.bucket(group.context, 1)[use]
+        level = group.level(seen)[use]
         key, back = np.unique((level * 20_001 + q[0] + 10_000) * 20_001 + q[1] + 10_000, return_inverse=True)
         n = np.bincount(back, weights=times[use], minlength=len(key)).astype(np.int64)
         return pa.Table.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
@@ -235,22 +306,24 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
         return pa.Table.from_pydict({"weights": [found.ravel().tolist()]}, pa.schema({"weights": pa.list_(pa.float64())}))
 
     # at most a few hundred steps of each estimate for each of 64 levels, whatever the input
-    seen = blocks.groupBy("bucket").applyInArrow(histogram, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    seen = blocks.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(histogram, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     learned = seen.groupBy().applyInArrow(weights, "weights array<double>")
     default = spark.createDataFrame([([0.4, 0.5, 0.1] * 64, 0)], "weights array<double>, learned int")
     learned = learned.withColumn("learned", F.lit(1)).unionByName(default)
     learned = learned.groupBy().agg(F.max_by("weights", "learned").alias("weights"))
     learned = learned.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "weights")
+    facts = facts.unionByName(learned, allowMissingColumns=True)
     schema = pa.schema({"bucket": pa.int32(), "sid": pa.list_(pa.int64()), "owner": pa.list_(pa.int16()), **{c: pa.list_(t) for c, t in (("n_tokens", pa.int32()), ("n_known", pa.int32()), ("base", pa.float64()), ("score", pa.float64()))}})
 
-    def scored(table: pa.Table, weight: pa.Table) -> pa.Table:
+    def scored(table: pa.Table, found: pa.Table) -> pa.Table:
         if not table.num_rows:
             return schema.empty_table()
-        mixture = np.array(weight.column("weights")[0].as_py()).reshape(64, 3)
-        group = _Group(table, contexts)
-        word, pair = group.counts(group.core + group.fold, contexts, 0)
-        w = mixture[contexts.bucket(group.context, 0)]
-        p = w[:, 0] * _ratio(pair, contexts.seen[group.context, 0]) + w[:, 1] * word / max(total, 1) + w[:, 2] * even
+        mixture = np.array(found.column("weights").drop_null()[0].as_py()).reshape(64, 3)
+        group = _Group(table, found, contexts)
+        word, pair = group.counts(group.core + group.fold, 0)
+        seen = group.seen(0)
+        w = mixture[group.level(seen)]
+        p = w[:, 0] * _ratio(pair, seen) + w[:, 1] * word / max(total, 1) + w[:, 2] * even
         names, first = np.unique(group.sid, return_index=True)  # of equal texts, one stands for all
         use = np.zeros(len(group.sid), bool)
         use[first] = True
@@ -274,7 +347,7 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
         return pa.Table.from_pydict({"sid": names, **{c: v.astype(np.int64) if c[0] == "n" else v for c, v in sums.items()}})
 
     kind = "bucket int, sid array<long>, owner array<short>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>"
-    parts = blocks.groupBy("bucket").cogroup(learned.groupBy("bucket")).applyInArrow(scored, kind)
+    parts = blocks.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(scored, kind)
     by_text = parts.groupBy("bucket").applyInArrow(summed, "sid long, n_tokens long, n_known long, base double, score double")
 
     def named(batches):

@@ -327,6 +327,61 @@ def test_scores_follow_the_training_text(spark):
     assert found[2] > found[3] > found[4]
 
 
+def brute_scores(texts, test):
+    """Scores of whole texts by dictionaries; ``test`` and the folds as in the operator."""
+    import numpy as np
+
+    def counted(own):
+        one, two = Counter(), Counter()
+        for w in own:
+            one.update(w)
+            two.update(zip(["<s>", *w[:-1]], w, strict=True))
+        return one, two, Counter({v: n for v, n in one.items() if v is not None}) + Counter({"<s>": len(own)})
+
+    words = {i: [*words_of(t), None] for i, (t, _) in texts.items()}
+    train = [i for i in texts if i not in test]
+    core = counted([words[i] for i in train if not texts[i][1]])
+    full = counted([words[i] for i in train])
+    even = 1 / (len(full[0]) + 1)
+    level = lambda v, seen: 63 if v == "<s>" else int(math.log2(seen[v] + 1))
+    ratio = lambda a, b: a / b if b else 0.0
+    step = lambda p: 2 ** (round(math.log2(p) * scoring.STEPS) / scoring.STEPS) if p else 0.0
+    held = [(v, w) for i in train if texts[i][1] for v, w in zip(["<s>", *words[i][:-1]], words[i], strict=True)]
+    one, two, seen = core
+    table = [(level(v, seen), step(ratio(two[v, w], seen[v])), step(one[w] / sum(one.values()))) for v, w in held]
+    mixture = scoring.learn(*(np.array(x) for x in zip(*table, strict=True)), even, np.ones(len(table)))
+    one, two, seen = full
+    out = {}
+    for i, own in words.items():
+        pairs = list(zip(["<s>", *own[:-1]], own, strict=True))
+        parts = [mixture[level(v, seen)] @ [ratio(two[v, w], seen[v]), one[w] / sum(one.values()), even] for v, w in pairs]
+        out[i] = sum(math.log10(p) for p in parts)
+    return out
+
+
+@pytest.mark.parametrize("listed", [32_000, 5, 0])
+def test_every_word_is_its_own_context(spark, monkeypatch, listed):
+    monkeypatch.setattr(scoring, "CONTEXTS", listed)
+    monkeypatch.setattr(scoring, "ENTRIES", 700)
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(300)]
+    weight = [1 / (i + 1) for i in range(300)]
+    texts = {}
+    for i in range(120):
+        own = []
+        for w in rng.choices(vocabulary, weight, k=25):
+            own += [w, f"after{w}"] if rng.random() < 0.7 else [w]
+        texts[i] = " ".join(own)
+    texts[200], texts[201] = "v250 unheard words here", "v7 v7 v7"
+    data = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    test = {i for i in texts if i % 5 == 0 or i >= 200}
+    fold = {r.doc_id: r.kind == scoring.FOLD for r in scoring.with_kinds(data, F.lit(False)).collect()}
+    held = (F.col("doc_id") % 5 == 0) | (F.col("doc_id") >= 200)
+    found = {r.doc_id: r.score for r in scoring.scores(data, held).collect()}
+    expected = brute_scores({i: (t, fold[i]) for i, t in texts.items()}, test)
+    assert found == pytest.approx(expected, abs=1e-6)
+
+
 def test_mixture_weights_follow_held_out_counts():
     import numpy as np
 
