@@ -3,8 +3,9 @@
 The words of all pages give unigram probabilities, and Viterbi search splits the
 letters of each host label into the likeliest words.  A multinomial naive Bayes model
 learns from the urls that a rule decides and judges the others.  The labels that the rules
-themselves name are no features, as they would only restate the rules.  Seed words count as
-seen in one blocked url of a hundred, and are known to the segmenter.
+themselves name are no features, as they would only restate the rules.  A caller may name
+seed words, which count as seen in one blocked url of a hundred and are known to the
+segmenter; there are none by default.
 
 A null url, or one without ``://``, has an empty host and path, no rule and no tokens, so
 the prior decides.  Ties allow.  A verdict depends on (host, path) alone: repeated rows
@@ -29,7 +30,6 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 #: The segmenter knows this many words, the most frequent ones; others cost more the longer they are.
 VOCABULARY = 50_000
 LONGEST = 24
-SEEDS = ("adult", "ads", "bet", "bets", "casino", "cheap", "farm", "free", "pills", "poker", "porn", "spam", "track", "win", "xxx")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -107,7 +107,7 @@ class Segmenter:
         return out
 
 
-def segmenter(pages: DataFrame, seeds=SEEDS) -> Segmenter:
+def segmenter(pages: DataFrame, seeds=()) -> Segmenter:
     counts = word_counts(pages).where(F.length("word") <= LONGEST).cache()
     total = counts.agg(F.sum("n")).first()[0] or 0
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
@@ -133,7 +133,7 @@ def _tokens(urls: DataFrame, split: Segmenter, rules) -> DataFrame:
     return urls.join(hosts, urls["host"] == hosts["h"]).select("host", "path", both.alias("tokens"))
 
 
-def judge_urls(pages: DataFrame, rules=RULES, seeds=SEEDS) -> DataFrame:
+def judge_urls(pages: DataFrame, rules=RULES, seeds=()) -> DataFrame:
     """All columns of ``pages`` with ``judged``: struct(host, path, rule, verdict, score).
 
     The score is the log odds for block, null where a rule decides.

@@ -301,6 +301,15 @@ def test_url_segments_and_bayes(spark):
     assert (found[50].verdict, found[51].verdict) == ("block", "allow")
 
 
+def test_url_odds_come_from_decided_urls_alone(spark):
+    html = "good news spam free farm win calm barn rock sand " * 20
+    data = [(i, f"http://goodnews{i}.net/a", html) for i in range(10)] + [(20 + i, f"http://good{i}.example.net/en/a", html) for i in range(30)]
+    data += [(50, "http://freefarm.com/a", html), (51, "http://calmbarn.com/a", html), (52, "http://spamwin.com/a", html), (53, "http://newsrock.com/a", html)]
+    found = {r.page_id: r.judged for r in urls.judge_urls(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert found[50].score == found[51].score == found[52].score
+    assert found[53].score > found[51].score
+
+
 def test_scores(docs, nothing, crowded):
     held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
     found = scoring.scores(docs, held).collect()
