@@ -1,7 +1,9 @@
 """URL filters: list rules first, then naive Bayes over segmented hosts and path tokens.
 
 The words of all pages give unigram probabilities, and Viterbi search splits the
-letters of each host label into the likeliest words.  A multinomial naive Bayes model
+letters of each host label into the likeliest words.  The substrings of the distinct hosts'
+labels are joined with the counts of all words by a shuffle, so each host meets exactly the
+words it holds; other letters cost more the longer they are.  A multinomial naive Bayes model
 learns from the urls that a rule decides and judges the others.  The labels that the rules
 themselves name are no features, as they would only restate the rules.  A caller may name
 seed words, which count as seen in one blocked url of a hundred and are known to the
@@ -23,13 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plymill.llm.graphs import small_batches
+from plymill.llm.graphs import small_batches, stored
 from plymill.llm.lines import LOWER, UPPER
 
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-#: The segmenter knows this many words, the most frequent ones; others cost more the longer they are.
-VOCABULARY = 50_000
-LONGEST = 24
+LABEL = r"[a-z]+|[0-9]+|[^a-z0-9.\-_:@]+"
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -81,19 +81,21 @@ class Segmenter:
     def __init__(self, counts: dict[str, int], total: int):
         self.total = max(total, 1)
         self.cost = {w: -math.log(n / self.total) for w, n in counts.items()}
-        self.longest = min(max(map(len, counts), default=1), LONGEST)
+        self.sizes = sorted({len(w) for w in counts}, reverse=True)
 
     def split(self, letters: str) -> list[str]:
-        best, back = [0.0], [0]
+        letter = math.log(10)
+        best, back, first = [0.0], [0], 0  # unseen letters start where best - letter * start is least
         for end in range(1, len(letters) + 1):
-            choices = []
-            for start in range(max(0, end - self.longest), end):
-                word = letters[start:end]
-                unseen = math.log(self.total) + math.log(10) * len(word)
-                choices.append((best[start] + self.cost.get(word, unseen), -start))
+            choices = [(best[first] + math.log(self.total) + letter * (end - first), first)]
+            for size in self.sizes:
+                if size <= end and (cost := self.cost.get(letters[end - size : end])) is not None:
+                    choices.append((best[end - size] + cost, end - size))
             cost, start = min(choices)
             best.append(cost)
-            back.append(-start)
+            back.append(start)
+            if cost - letter * end < best[first] - letter * first:
+                first = end
         words, end = [], len(letters)
         while end:
             words.append(letters[back[end] : end])
@@ -102,34 +104,58 @@ class Segmenter:
 
     def tokens(self, host: str) -> list[str]:
         out = []
-        for label in re.findall(r"[a-z]+|[0-9]+|[^a-z0-9.\-_:@]+", host):
+        for label in re.findall(LABEL, host):
             out += self.split(label) if label.isascii() and label.isalpha() else ["0"] if label.isdigit() else [label]
         return out
 
 
-def segmenter(pages: DataFrame, seeds=()) -> Segmenter:
-    counts = word_counts(pages).where(F.length("word") <= LONGEST).cache()
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY).collect()
-    counts.unpersist()
-    known = {r[0]: r[1] for r in top}
-    return Segmenter({w: 1 + total // 1000 for w in seeds} | known, total)
+def host_tokens(pages: DataFrame, hosts: DataFrame, seeds=()) -> DataFrame:
+    """(h, h_tokens) of distinct hosts, each split by the counts of all words that it holds."""
+    counts = stored(word_counts(pages), "words")
+    total, longest = counts.agg(F.sum("n"), F.max(F.length("word"))).first()
+    total = total or 0
+    longest = max([longest or 0, *map(len, seeds)])
 
-
-def _tokens(urls: DataFrame, split: Segmenter, rules) -> DataFrame:
-    """(host, path, tokens) for distinct urls; only distinct hosts reach the segmenter."""
+    def cut(batches):
+        for batch in batches:
+            for host in batch.column("h").to_pylist():
+                found: set[str] = set()
+                labels = {x for x in re.findall(LABEL, host) if x.isascii() and x.isalpha()}
+                for label in labels:
+                    for start in range(len(label)):
+                        found.update(label[start:end] for end in range(start + 1, min(len(label), start + longest) + 1))
+                        if len(found) > 20_000:
+                            yield rows(host, found)
+                            found.clear()
+                yield rows(host, found)
+
+    def rows(host: str, found: set[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([host] * len(found), pa.string()), pa.array(sorted(found), pa.string())], ["h", "part"])
+
+    parts = hosts.mapInArrow(cut, "h string, part string").distinct()
+    seeded = pages.sparkSession.createDataFrame([(w, 1 + total // 1000) for w in seeds], "word string, n long")
+    known = counts.unionByName(seeded.join(counts, "word", "left_anti"))
+    met = parts.join(known, parts["part"] == known["word"]).groupBy("h").agg(F.collect_list(F.struct("word", "n")).alias("met"))
+    held = hosts.join(met.withColumnRenamed("h", "m_host"), F.col("h") == F.col("m_host"), "left")
+
+    def segmented(hosts: pa.Array, words: pa.Array, ns: pa.Array) -> pa.Array:
+        each = zip(hosts.to_pylist(), words.to_pylist(), ns.to_pylist(), strict=True)
+        return pa.array([Segmenter(dict(zip(w or [], n or [], strict=True)), total).tokens(h) for h, w, n in each], pa.list_(pa.string()))
+
+    return held.select("h", F.arrow_udf(segmented, "array<string>")("h", "met.word", "met.n").alias("h_tokens"))
+
+
+def _tokens(pages: DataFrame, urls: DataFrame, rules, seeds) -> DataFrame:
+    """(host, path, tokens) for distinct urls, repeats included; only distinct hosts reach the segmenter."""
     named_by_rules = {f"h:{x}" for _, host, _ in rules for x in host.split(".")}
     named_by_rules |= {f"p:{x}" for _, _, path in rules for x in path.split("/") if x}
 
-    def segmented(hosts: pa.Array) -> pa.Array:
-        return pa.array([split.tokens(h) for h in hosts.to_pylist()], pa.list_(pa.string()))
-
-    words = F.arrow_udf(segmented, "array<string>")("host")
-    hosts = urls.select("host").distinct().select(F.col("host").alias("h"), F.transform(words, lambda w: F.concat(F.lit("h:"), w)).alias("h_tokens"))
+    words = host_tokens(pages, urls.select(F.col("host").alias("h")).distinct(), seeds)
+    hosts = words.select("h", F.transform("h_tokens", lambda w: F.concat(F.lit("h:"), w)).alias("h_tokens"))
     part = F.split(F.translate("path", UPPER, LOWER), r"[/._\-+=&%,;:~!]+")
     named = F.filter(F.transform(part, lambda w: F.regexp_replace(w, r"^\d+$", "0")), lambda w: w != "")
     own = F.transform(named, lambda w: F.concat(F.lit("p:"), w))
-    both = F.array_except(F.concat("h_tokens", own), F.array(*[F.lit(x) for x in sorted(named_by_rules)]))
+    both = F.filter(F.concat("h_tokens", own), lambda w: ~w.isin(sorted(named_by_rules)))
     return urls.join(hosts, urls["host"] == hosts["h"]).select("host", "path", both.alias("tokens"))
 
 
@@ -139,13 +165,12 @@ def judge_urls(pages: DataFrame, rules=RULES, seeds=()) -> DataFrame:
     The score is the log odds for block, null where a rule decides.
     """
     small_batches(pages.sparkSession)
-    split = segmenter(pages, seeds)
     host, path = host_and_path(pages["url"])
     rows = pages.select(F.struct(*[pages[c] for c in pages.columns]).alias("row"), host.alias("host"), path.alias("path"))
     text, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.select("row", "host", "path", text.alias("rule"), verdict.alias("listed"))
     each = rows.groupBy("host", "path", "listed").agg(F.count("*").alias("n"))
-    tokens = _tokens(each.select("host", "path"), split, rules)
+    tokens = _tokens(pages, each.select("host", "path"), rules, seeds)
     counted = each.join(tokens, ["host", "path"])
     blocked = F.when(F.col("listed") == "block", F.col("n")).otherwise(0)
     allowed = F.when(F.col("listed") == "allow", F.col("n")).otherwise(0)

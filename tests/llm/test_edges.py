@@ -301,6 +301,39 @@ def test_url_segments_and_bayes(spark):
     assert (found[50].verdict, found[51].verdict) == ("block", "allow")
 
 
+def test_hosts_are_split_by_all_words(spark):
+    # 55,000 more frequent words, and a rare one of 30 letters
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    many = ["qx" + "".join(letters[i // 26**k % 26] for k in range(4)) for i in range(55_000)]
+    long = "rarelongword" + "z" * 18
+    pages = spark.createDataFrame([(1, "http://a.net/", " ".join(many) + " " + " ".join(many)), (2, None, f"raven lamp {long}")], "page_id long, url string, html string")
+    hosts = spark.createDataFrame([("www.ravenlamp.com",), (f"{long}lamp7.org",), ("",), ("lamplamp",), ("é.lamp",)], "h string")
+    found = {r.h: r.h_tokens for r in urls.host_tokens(pages, hosts).collect()}
+    assert found["www.ravenlamp.com"][-3:-1] == ["raven", "lamp"] and found[""] == []
+    assert found[f"{long}lamp7.org"][:3] == [long, "lamp", "0"] and found["lamplamp"] == ["lamp", "lamp"] and found["é.lamp"] == ["é", "lamp"]
+    assert {tuple(r.h_tokens) for r in urls.host_tokens(pages.limit(0), hosts.limit(1)).collect()} == {("www", "ravenlamp", "com")}
+
+
+def test_segments_equal_all_splits():
+    from itertools import product
+
+    counts = {"a": 9, "ab": 5, "bca": 4, "cab": 2, "c": 3, "abcab": 1}
+    split = urls.Segmenter(counts, 24)
+    price = lambda w: split.cost.get(w, math.log(24) + math.log(10) * len(w))
+    for letters in ("abcab", "ccabxab", "xxabcax", "bbbbbb"):
+        cuts = product([0, 1], repeat=len(letters) - 1)
+        ways = ["".join(x + "|" * c for x, c in zip(letters, [*cut, 0], strict=True)).split("|") for cut in cuts]
+        assert sum(map(price, split.split(letters))) == pytest.approx(min(sum(map(price, w)) for w in ways))
+
+
+def test_url_tokens_keep_repeats(spark):
+    data = [(i, f"http://h.net/{'spam/' * (i % 3)}x{i}", "word") for i in range(9)] + [(20, "http://h.example.net/en/calm", "word")]
+    data += [(50, "http://o.com/spam", "word"), (51, "http://o.com/spam/spam", "word"), (52, "http://o.com/q", "word"), (53, "http://o.com/q/q", "word")]
+    found = {r.page_id: r.judged.score for r in urls.judge_urls(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    # spam was seen 0 + 1 + 2 times three times over in blocked urls
+    assert found[51] - found[50] == pytest.approx(found[53] - found[52] + math.log(10), abs=1e-6)
+
+
 def test_url_odds_come_from_decided_urls_alone(spark):
     html = "good news spam free farm win calm barn rock sand " * 20
     data = [(i, f"http://goodnews{i}.net/a", html) for i in range(10)] + [(20 + i, f"http://good{i}.example.net/en/a", html) for i in range(30)]
