@@ -1041,7 +1041,7 @@ def _blunder_training(spark, folder):
 
 def _blunder_model(spark, folder):
     use_checkpoints(spark)
-    return train.train_blunder(_blunder_training(spark, folder), "row_id", trees=10)
+    return train.train_blunder(_blunder_training(spark, folder), "row_id")
 
 
 @query("m09_blunder_model")
@@ -1066,14 +1066,23 @@ def _outcome_training(spark, folder):
     return spark.read.parquet(path)
 
 
-@query("m10_outcome_models")
-def _(spark, folder):
+def _outcome_models(spark, folder, boosted):
     use_checkpoints(spark)
     frame = _outcome_training(spark, folder)
-    fitted = {name: train.train_outcome(frame, "game_id", name, trees=20).metrics for name in frames.OUTCOME_SETS}
+    fitted = {name: train.train_outcome(frame, "game_id", name, boosted=boosted).metrics for name in frames.OUTCOME_SETS}
     return rounded(metrics.compare(fitted))
 
 
+@query("m10_outcome_models")
+def _(spark, folder):
+    return _outcome_models(spark, folder, boosted=False)
+
+
+@query("m10_boosted_outcome_models")
+def _(spark, folder):
+    return _outcome_models(spark, folder, boosted=True)
+
+
 @query("m12_binary_metrics")
 def _(spark, folder):
     return rounded(metrics.binary_metrics(_scored(spark, folder)))

@@ -133,3 +133,25 @@ def test_player_clusters(spark):
     assert cluster.sweep(cluster.scaled(frame), 3, 4).count() == 2
     with pytest.raises(frames.FrameError):
         frames.validate_clusters(frame, 61)
+
+
+def test_registered_models_fit_all_trees(spark, small, monkeypatch):
+    from plymill import catalog
+
+    fitted = []
+
+    class Enough(Exception):
+        pass
+
+    class Caught(train.Pipeline):
+        def fit(self, *args, **kwargs):
+            fitted.append(self.getStages()[-1])
+            raise Enough
+
+    monkeypatch.setattr(train, "Pipeline", Caught)
+    for name in ("m09_blunder_model", "m11_batch_scoring", "m26_o04_importances", "m10_outcome_models", "m10_boosted_outcome_models"):
+        with pytest.raises(Enough):
+            catalog.QUERIES[name](spark, small)
+    *boosters, forest, per_class = fitted
+    assert [b.getMaxIter() for b in boosters] == [250] * 3 and forest.getNumTrees() == 180
+    assert per_class.getClassifier().getMaxIter() == 180
