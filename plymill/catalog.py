@@ -1341,6 +1341,6 @@ def _(spark, folder):
         players.player_months(stored),
         openings.opening_performance(stored),
         time_pressure.time_pressure(stored),
-        lake.empty(spark, schemas.POSITIONS),
+        evaluated(spark, folder),
     )
     return quality.model_tests(built)

@@ -136,3 +136,13 @@ def test_expectations(spark):
     assert [tuple(r) for r in quality.expect_accepted(frame, "v", ["x"]).collect()] == [("y", 1)]
     assert quality.expect_not_null(frame, "k").count() == 2
     assert frame.filter(F.col("k").isNull()).count() == 2
+
+
+def test_model_tests_see_positions(spark, small, monkeypatch):
+    from plymill import catalog
+
+    given = []
+    build = catalog.models.build
+    monkeypatch.setattr(catalog.models, "build", lambda *tables: given.append(tables[-1]) or build(*tables))
+    found = catalog.QUERIES["c09_model_tests"](spark, small).collect()
+    assert not given[0].isEmpty() and len(found) == 7 and all(r["failures"] == 0 for r in found)
