@@ -9,9 +9,12 @@ from plymill.llm.lines import op4_line_dedup
 from plymill.llm.mixing import op7_source_mixing
 from plymill.llm.quality import op1_quality_rules
 from plymill.llm.scoring import op10_lm_scoring
+from plymill.llm.simhash import op12_simhash_near_dedup
 from plymill.llm.substrings import op9_substring_dedup
 from plymill.llm.suffixes import op3_suffix_array_dedup
 from plymill.llm.urls import op8_url_filters
+from plymill.llm.variants import op13_spelling_variants
+from plymill.llm.whitening import op11_embedding_whitening
 
 QUERIES = {
     f.__name__: f
@@ -26,6 +29,9 @@ QUERIES = {
         op8_url_filters,
         op9_substring_dedup,
         op10_lm_scoring,
+        op11_embedding_whitening,
+        op12_simhash_near_dedup,
+        op13_spelling_variants,
     )
 }
 
