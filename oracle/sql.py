@@ -228,19 +228,18 @@ def _percent(c: str) -> str:
 def opening_sentences(least: int, limit: int | None = None) -> str:
     order = f"games_count desc, {', '.join(k.strip() + ' nulls first' for k in OPENING_KEYS.split(','))}"
     return f"""select 'op_' || (row_number() over (order by {order}) - 1) as doc_id,
-      'Opening: ' || coalesce(opening_family, 'None') || ' (ECO ' || coalesce(eco_code, 'None') || '). Elo range: '
-      || coalesce(elo_bucket, 'None') || '. Time control: ' || coalesce(time_control_type, 'None') || '. Analyzed from '
-      || format('{{:,}}', games_count) || ' games. White wins ' || {_percent('white_win_rate')} || '%, draw '
-      || {_percent('draw_rate')} || '%, black wins ' || {_percent('black_win_rate')} || '%. Average game length: '
-      || printf('%.0f', round(avg_game_length, 0)) || ' moves.' as text
+      coalesce(opening_family, 'unknown') || ' [' || coalesce(eco_code, 'unknown') || '], players rated '
+      || coalesce(elo_bucket, 'unknown') || ', ' || coalesce(time_control_type, 'unknown') || ' games: '
+      || format('{{:,}}', games_count) || ' played. First side won ' || {_percent('white_win_rate')} || '%, second side '
+      || {_percent('black_win_rate')} || '%, drawn ' || {_percent('draw_rate')} || '%. Mean length '
+      || printf('%.0f', round(avg_game_length, 0)) || ' half-moves.' as text
     from (select * from openings where games_count >= {least} order by {order} limit {limit or 10**9})"""
 
 
 PLAYER_SENTENCES = f"""select 'pl_' || (row_number() over (order by total_games desc, player) - 1) as doc_id,
-      'Player: ' || player || '. Games played: ' || format('{{:,}}', total_games) || '. Average Elo: '
-      || coalesce(printf('%.0f', elo), 'unknown') || '. Win rate: ' || printf('%.1f', win_pct) || '%.'
-      || coalesce(' Preferred opening as White: ' || w || '.', '')
-      || coalesce(' Preferred opening as Black: ' || b || '.', '') as text
+      player || ' played ' || format('{{:,}}', total_games) || ' games at a mean rating of '
+      || coalesce(printf('%.0f', elo), 'unknown') || ' and won ' || printf('%.1f', win_pct) || '% of them.'
+      || coalesce(' As first side mostly ' || w || '.', '') || coalesce(' As second side mostly ' || b || '.', '') as text
     from (select player, sum(games_played)::bigint as total_games, {r('avg(avg_elo)', 0)} as elo,
       {r('avg(win_rate) * 100', 1)} as win_pct, min(most_played_opening_white) as w, min(most_played_opening_black) as b
       from players group by 1 having sum(games_played) >= 30 order by 2 desc, 1)"""

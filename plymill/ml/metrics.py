@@ -41,21 +41,17 @@ def binary_metrics(scored: DataFrame, label: str = "label", prediction: str = "p
     )
 
 
-def curve_points(scored: DataFrame, label: str = "label", score: str = "score", bounds=(0.0, 1.0)) -> DataFrame:
+def curve_points(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """One row per distinct score: positives and negatives at, and at or above, the score."""
     per_score = scored.groupBy((-F.col(score)).alias("position")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg")
     )
-    flipped = (-bounds[1], -bounds[0]) if bounds else None
-    return running_totals(per_score, [], "position", ["pos", "neg"], bounds=flipped)
+    return running_totals(per_score, [], "position", ["pos", "neg"])
 
 
-def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score", bounds=(0.0, 1.0)) -> DataFrame:
-    """ROC-AUC with ties counted half, and average precision over distinct scores.
-
-    ``bounds`` is the range of the scores; give ``None`` to have it looked up.
-    """
-    points = curve_points(scored, label, score, bounds)
+def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """ROC-AUC with ties counted half, and average precision over distinct scores of any range."""
+    points = curve_points(scored, label, score)
     positives, negatives = F.sum("pos").cast("double"), F.sum("neg").cast("double")
     above = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
     steps = F.sum(F.col("pos") * F.try_divide(F.col("pos_upto"), F.col("pos_upto") + F.col("neg_upto")))

@@ -7,7 +7,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plymill.operators.keyed import exact_medians, heaviest, join_dimension
+from plymill.operators.keyed import exact_medians, heaviest
 
 RARE_LEVEL = "__infrequent__"
 FILLED = "_filled"
@@ -68,7 +68,7 @@ def fold_rare(frame: DataFrame, column: str, min_count: int = 25, fitted_on: Dat
     source = fitted_on if fitted_on is not None else frame
     common = source.groupBy(column).agg(F.count("*").alias("_n")).filter(F.col("_n") >= min_count)
     common = common.select(F.col(column).alias("_level"))
-    joined = join_dimension(frame, common, F.col(column) == F.col("_level"))
+    joined = frame.join(common, F.col(column) == F.col("_level"), "left")
     kept = F.when(F.col(column).isNotNull(), F.coalesce(F.col("_level"), F.lit(RARE_LEVEL)))
     return joined.withColumn(column, kept).select(*frame.columns)
 
@@ -84,8 +84,11 @@ def class_weights(frame: DataFrame, label: str, balanced: bool = True) -> DataFr
 
 
 def with_class_weights(frame: DataFrame, label: str, balanced: bool = True) -> DataFrame:
-    weights = class_weights(frame, label, balanced)
-    return join_dimension(frame, weights, [label], "inner")
+    """The rows that have a class, with its weight looked up in a map of one entry per class."""
+    weights = class_weights(frame, label, balanced).filter(F.col(label).isNotNull())
+    entries = F.map_from_entries(F.collect_list(F.struct(label, "weight")))
+    known = frame.filter(F.col(label).isNotNull())
+    return known.withColumn("weight", F.element_at(weights.agg(entries.alias("w")).scalar(), F.col(label)))
 
 
 def label_index(column: Column, classes: list[str]) -> Column:

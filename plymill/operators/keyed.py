@@ -1,4 +1,4 @@
-"""Keyed building blocks: dedupe, bounded joins, running totals, exact splits and samples.
+"""Keyed building blocks: dedupe, sampled ranges, running totals, row numbers, exact splits and samples.
 
 All of them reduce rows before the shuffle, so one key with a large share of
 the rows costs one row per map task and not one overfull task.
@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
+from plymill.session import scratch_path
 
 
 def dedupe(df: DataFrame, key: str, count_as: str | None = None) -> DataFrame:
@@ -38,62 +38,63 @@ def heaviest(value: str, weight: str) -> Column:
     return F.min(F.when(F.col(value).isNotNull(), ranked))["v"]
 
 
-def join_dimension(
-    facts: DataFrame, dimension: DataFrame, on: Column | list[str], how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
-    """Join a small table, broadcast only after its row count was checked.
+def ranges(df: DataFrame, *order: str | Column, parts: int | None = None, label: str = "ranges") -> DataFrame:
+    """``df`` written in ranges of ``order``, with the number of its range as ``_range``.
 
-    A larger one is joined by shuffle, where adaptive execution splits hot keys.
+    Spark samples the values to cut the ranges, so each holds about the same number of rows,
+    whatever the distribution; only rows equal in all of ``order`` cannot be parted.  The
+    written table makes the cut final: sampling again could cut elsewhere.
     """
-    if dimension.limit(max_rows + 1).count() <= max_rows:
-        dimension = F.broadcast(dimension)
-    return facts.join(dimension, on, how)
-
-
-def running_totals(
-    df: DataFrame,
-    group: list[str],
-    position: str,
-    values: list[str],
-    bounds: tuple[float, float] | None = None,
-    buckets: int = 4096,
-) -> DataFrame:
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, label)
+    df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def running_totals(df: DataFrame, group: list[str], position: str, values: list[str], parts: int | None = None) -> DataFrame:
     """Running sums of ``values`` by ascending ``position`` within each group.
 
-    A plain window would sort a whole group in one task.  Instead the range of
-    the positions is cut into equal buckets: bucket totals are summed over at
-    most ``buckets`` rows, and the rows themselves only inside their bucket.
-    ``position`` must be numeric and distinct per group (aggregate first), and
-    ``group`` a fixed short list of members such as column names: one row for
-    each of them is broadcast.  Known ``bounds`` save the pass that finds them.
+    A plain window would sort a whole group in one task.  Instead the rows are cut into
+    sampled ranges of (group, position), the totals of the ranges are summed up, and the rows themselves only
+    inside their range.  ``position`` must be distinct per group (aggregate first).
     Adds ``<value>_before`` and ``<value>_upto``; rows without a position drop.
     """
-    named = df.filter(F.col(position).isNotNull())
-    keys = group or ["_all"]
-    if not group:
-        named = named.withColumn("_all", F.lit(0))
-    if bounds:
-        placed = named.withColumns({"_low": F.lit(float(bounds[0])), "_high": F.lit(float(bounds[1]))})
-    else:
-        ranges = named.groupBy(*keys).agg(
-            F.min(position).cast("double").alias("_low"), F.max(position).cast("double").alias("_high")
-        )
-        placed = named.join(F.broadcast(ranges), keys)
-    share = (F.col(position) - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
-    placed = placed.withColumn("_bucket", F.coalesce(F.floor(share * buckets), F.lit(0)).cast("int"))
-
-    totals = placed.groupBy(*keys, "_bucket").agg(*[F.sum(v).alias(f"_{v}") for v in values])
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranges(df.filter(F.col(position).isNotNull()), *group, position, parts=parts)
+    totals = placed.groupBy(*group, "_range").agg(*[F.sum(v).alias(f"_{v}") for v in values])
+    # a group has at most one total per range; without a group they all meet in one small window
+    own = Window.partitionBy(*(group or [F.lit(0)]))
+    earlier = own.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_bucket", *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values]
+        *[F.col(g).alias(f"_of_{g}") for g in group],
+        F.col("_range").alias("_of"),
+        *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_offset") for v in values],
     )
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    summed = placed.join(offsets, [*keys, "_bucket"])
+    same = F.col("_range") == F.col("_of")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    inside = Window.partitionBy(*group, "_range").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.join(offsets, same)
     upto = {f"{v}_upto": F.col(f"_{v}_offset") + F.sum(v).over(inside) for v in values}
     summed = summed.withColumns(upto).withColumns({f"{v}_before": F.col(f"{v}_upto") - F.col(v) for v in values})
     return summed.select(*df.columns, *[f"{v}_{side}" for v in values for side in ("before", "upto")])
 
 
+def numbered(df: DataFrame, order: list[Column], name: str = "number", parts: int | None = None) -> DataFrame:
+    """``df`` with 0-based row numbers in ``order``, as one global sort would give them.
+
+    Rows are numbered inside sampled ranges, and the ranges' row counts add up to their offsets,
+    so no task holds more than a range.
+    """
+    placed = ranges(df, *order, parts=parts, label="numbered")
+    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    found = placed.join(offsets, F.col("_range") == F.col("_of"))
+    return found.withColumn(name, F.col("_offset") + rank - 1).select(*df.columns, name)
+
+
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact median of every numeric column, as rows (feature, median).
 
@@ -142,37 +143,40 @@ def check_fraction(fraction: float) -> None:
 def stratified_split(df: DataFrame, label: str, key: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
     """Adds ``is_test``: exactly ``round(test_share * n)`` rows of every class, by key hash.
 
-    A row number over a whole class would sort it in one task.  The hash prefix
-    cuts a class into 65536 buckets; whole buckets fall on one side, and only
-    the rows of the one bucket that holds the cut are numbered.
+    The rows are written once with their hash.  Counts by the first four digits of the hash find the
+    slot that holds a class's cut, counts by the next four narrow it down, and the
+    few rows left give the exact (hash, key) at the cut.  Whether a row is a test row
+    is then one comparison, in one pass over the written rows.  Rows with equal keys in a class fall on one side.
     """
-    hashed = df.withColumn("_h", hash_order(F.col(key), seed)).withColumn("_bucket", F.substring("_h", 1, 4))
-    sizes = hashed.groupBy(label, "_bucket").agg(F.count("*").alias("_n"))
-    by_class = Window.partitionBy(label)
-    upto = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    cuts = (
-        sizes.select(
-            label,
-            "_bucket",
-            (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
-            F.sum("_n").over(upto).alias("_upto"),
-            F.round(F.sum("_n").over(by_class) * F.lit(test_share)).cast("bigint").alias("_wanted"),
-        )
-        .filter((F.col("_before") < F.col("_wanted")) & (F.col("_upto") >= F.col("_wanted")))
-        .select(
-            F.col(label).alias("_label"),
-            F.col("_bucket").alias("_cut"),
-            (F.col("_wanted") - F.col("_before")).alias("_left"),
+    spark = df.sparkSession
+    path = scratch_path(spark, "split")
+    df.withColumn("_h", hash_order(F.col(key), seed)).write.parquet(path)
+    hashed = spark.read.parquet(path)
+    order = F.struct(F.col("_h"), F.col(key).alias("key"))
+
+    def with_class(table: DataFrame) -> DataFrame:
+        """The rows with ``_c``, the row of ``table`` for their class; one row per class, so it is looked up in an array."""
+        rows = hashed.withColumn("_rows", table.agg(F.collect_list(F.struct(*table.columns)).alias("rows")).scalar())
+        own = F.filter("_rows", lambda row: row["_label"].eqNullSafe(F.col(label)))
+        return rows.withColumn("_c", F.get(own, F.lit(0)))
+
+    wanted = hashed.groupBy(F.col(label).alias("_label")).agg(F.round(F.count("*") * F.lit(test_share)).cast("bigint").alias("_left"))
+    cut = wanted.filter("_left > 0").withColumn("_slot", F.lit(""))
+    for digits in (4, 8):
+        near = with_class(cut).filter(F.startswith("_h", F.col("_c._slot")))
+        counts = near.groupBy(F.col(label).alias("_label"), F.substring("_h", 1, digits).alias("_next")).agg(
+            F.count("*").alias("_n"), F.min("_c._left").alias("_left")
         )
-    )
-    placed = join_dimension(hashed, cuts, F.col(label).eqNullSafe(F.col("_label")))
-    on_cut = F.col("_bucket") == F.col("_cut")
-    rank = F.row_number().over(Window.partitionBy(label, "_bucket").orderBy("_h", key))
-    below = placed.filter(F.coalesce(~on_cut, F.lit(True))).withColumn(
-        "is_test", F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
-    )
-    cut = placed.filter(on_cut).withColumn("is_test", rank <= F.col("_left"))
-    return below.unionByName(cut).select(*df.columns, "is_test")
+        upto = F.sum("_n").over(Window.partitionBy("_label").orderBy("_next"))
+        placed = counts.withColumns({"_upto": upto, "_before": upto - F.col("_n")})
+        holds = (F.col("_before") < F.col("_left")) & (F.col("_left") <= F.col("_upto"))
+        cut = placed.filter(holds).select("_label", (F.col("_left") - F.col("_before")).alias("_left"), F.col("_next").alias("_slot"))
+    last = with_class(cut).filter(F.startswith("_h", F.col("_c._slot")))
+    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
+    last = last.withColumn("_rank", rank).filter("_rank = _c._left")
+    cuts = last.select(F.col(label).alias("_label"), order.alias("_cut"))
+    is_test = F.coalesce(order <= F.col("_c._cut"), F.lit(False))
+    return with_class(cuts).select(*df.columns, is_test.alias("is_test"))
 
 
 def any_of(*conditions: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from plymill import schemas
 from plymill.functions import moves as M
 from plymill.functions import scalars as S
-from plymill.operators.keyed import any_of, join_dimension
+from plymill.operators.keyed import any_of
 from plymill.sources import lake
 
 REQUIRED = ["game_id", "white", "black", "result", "year", "month"]
@@ -41,7 +41,8 @@ def opening_dimension(reference: DataFrame) -> DataFrame:
 
 def enrich_openings(games: DataFrame, reference: DataFrame) -> DataFrame:
     """Left join on the opening code; reference names win over the game's own."""
-    joined = join_dimension(games, opening_dimension(reference), F.col("eco_code") == F.col("ref_code"))
+    # adaptive execution broadcasts the codes if their bytes allow it, and splits hot ones otherwise
+    joined = games.join(opening_dimension(reference), F.col("eco_code") == F.col("ref_code"), "left")
     return joined.withColumns(
         {
             "opening_family": F.coalesce("ref_family", "opening_family"),
