@@ -682,6 +682,15 @@ tally(
     """select case when count(*) over (partition by opening_variation) >= 400 or opening_variation is null
       then opening_variation else '__infrequent__' end as opening_variation, time_control_type from outcomes""",
 )
+_FILLED = "coalesce({c}, (select {c} from outcomes where {c} is not null group by {c} order by count(*) desc, {c} limit 1), '')"
+add(
+    "m05_one_hot", ["outcomes"],
+    " union all ".join(
+        f"select '{c}' as feature, count(distinct {_FILLED.format(c=c)}) as levels,"
+        f" (count(distinct {_FILLED.format(c=c)}) + 1)::int as width, count(*) as n, count(*) as ones from outcomes"
+        for c in _LEVELS
+    ),
+)
 add(
     "m07_stratified_split", ["outcomes"],
     """select result, is_test, count(*) as n, min(game_id) as first_id, max(game_id) as last_id
@@ -809,6 +818,64 @@ tally(
     "select result, case result when 'black_win' then 0 when 'draw' then 1 when 'white_win' then 2 end as label from plain",
 )
 
+# ---- fitted models: exact facts
+
+_CLASS_ROWS = """select class, n - test_rows as train_rows,
+    round((n - test_rows) * least(1.0, 20000 / greatest(1.0, sum(n) over () * 0.8)))::bigint as fit_rows, test_rows
+  from (select class, count(*) as n, round(count(*) * 0.2::double)::bigint as test_rows from {source} group by 1)"""
+_BLUNDERS = "(select *, is_blunder::int as class, game_id || '-' || ply_number as row_id from positions where cp_loss is not null)"
+add(
+    "m09_blunder_model", ["positions"],
+    f"""select *, true as metrics_in_range, true as beats_chance, 250 as trees, 4 as depth
+    from ({_CLASS_ROWS.format(source=_BLUNDERS)})""",
+)
+add(
+    "m11_batch_scoring", ["positions"],
+    f"""select class as label, count(*) as n, count(*) as n_scored, count(*) as n_called, min(row_id) as first_id, max(row_id) as last_id
+    from (select *, row_number() over (partition by class order by md5('42:' || row_id), row_id)
+      <= round(count(*) over (partition by class) * 0.2) as is_test from {_BLUNDERS}) where is_test group by 1""",
+)
+add("m26_o04_importances", [], "select 9::bigint as features, 1.0::double as total, 0::bigint as negative, 0::bigint as unnamed")
+_OUTCOME_CLASSES = "(select case result when 'black_win' then 0 when 'draw' then 1 else 2 end as class from outcomes)"
+for _name in ("m10_outcome_models", "m10_boosted_outcome_models"):
+    add(
+        _name, ["outcomes"],
+        f"""select *, test_rows as n_sound, test_rows as n_called, true as loss_known
+        from ({_CLASS_ROWS.format(source=_OUTCOME_CLASSES)}), (select unnest(['pre_game', 'post_game']) as feature_set)""",
+    )
+_STYLED = "(select * from style where games_played >= 10)"
+add(
+    "m20_m22_clustered_players", ["style"],
+    f"""select count(*) as players, count(*) as distinct_players, count(*) as placed, 4::bigint as clusters, 4::bigint as labels,
+      0::bigint as mixed, count(*) as profiled, true as explained_in_range from {_STYLED}""",
+)
+add(
+    "m21_cluster_sweep", ["style"],
+    f"""select k::int as clusters, true as silhouette_in_range, true as inertia_falls
+    from (select unnest(range(3, least(8, count(*) - 1) + 1)) as k from {_STYLED})""",
+)
+_SHAPES = [
+    "win_rate", "draw_rate", "avg_elo", "avg_game_length", "avg_capture_count", "capture_game_rate", "opening_diversity",
+    "top_opening_share", "bullet_share", "blitz_share",
+]
+_ZS = ", ".join(
+    f"coalesce((m_{c} - avg(m_{c}) over ()) / case when stddev_pop(m_{c}) over () > 0 then stddev_pop(m_{c}) over () else 1 end, 0) as {c}"
+    for c in _SHAPES
+)
+_PERSONA_SUMS = {
+    "Bullet Specialists": "bullet_share", "Blitz Specialists": "blitz_share", "Long-Game Grinders": "avg_game_length + draw_rate",
+    "Opening Loyalists": "top_opening_share", "Opening Explorers": "opening_diversity - top_opening_share",
+    "Sharp Tactical Players": "capture_game_rate + avg_capture_count", "High-Elo Regulars": "avg_elo",
+    "Decisive Winners": "win_rate - draw_rate", "Balanced Generalists": "-abs(win_rate) - abs(top_opening_share)",
+}
+add(
+    "m24_persona_scores", ["style"],
+    f"""select cluster, rank, persona, {r6('score')} as score from (
+      select cluster, unnest([{', '.join(f"{{'rank': {i}, 'persona': '{n}', 'score': ({e})::double}}" for i, (n, e) in enumerate(_PERSONA_SUMS.items()))}], recursive := true)
+      from (select cluster, {_ZS} from (select (length(player) % 4)::int as cluster, {', '.join(f'avg({c}) as m_{c}' for c in _SHAPES)}
+        from {_STYLED} group by 1)))""",
+)
+
 # ---- streams
 
 _KEY = "coalesce(id, game_id)"

@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plymill import schemas
@@ -23,7 +23,7 @@ from plymill.operators import board, keyed
 from plymill.operators.roles import player_rows
 from plymill.plans import bronze as B
 from plymill.plans import corpus, models, openings, players, positions, quality, queries, silver, time_pressure
-from plymill.session import scratch_path, use_checkpoints
+from plymill.session import scratch_path, shared_folder, use_checkpoints
 from plymill.sources import lake, tables
 from plymill.streaming import events
 
@@ -1002,10 +1002,20 @@ def _(spark, folder):
 
 @query("m05_one_hot")
 def _(spark, folder):
-    frame = prep.impute_levels(_outcomes(spark, folder), frames.OUTCOME_CATEGORIES)
-    coded = prep.encoder(["year"], frames.OUTCOME_CATEGORIES).fit(frame).transform(frame)
-    width = F.size(vector_to_array("features")).alias("width")
-    return tally(coded.select("eco_code", "time_control_type", width))
+    """Of each category: its levels, the vector's width, and how many rows and ones it has."""
+    names = frames.OUTCOME_CATEGORIES
+    frame = prep.stored(prep.impute_levels(_outcomes(spark, folder), names).select("year", *names), "levels")
+    coded = prep.encoder(["year"], names).fit(frame).transform(frame)
+
+    def facts(name):
+        ones = vector_to_array(f"{name}_onehot")
+        total = F.aggregate(ones, F.lit(0.0), lambda x, y: x + y)
+        return F.struct(
+            F.lit(name).alias("feature"), F.count_distinct(name).alias("levels"), F.max(F.size(ones)).alias("width"),
+            F.count("*").alias("n"), F.sum(total).cast("long").alias("ones"),
+        )
+
+    return coded.agg(F.array(*[facts(name) for name in names]).alias("f")).select(F.explode("f").alias("f")).select("f.*")
 
 
 @query("m06_rare_levels")
@@ -1039,25 +1049,55 @@ def _blunder_training(spark, folder):
     return spark.read.parquet(path)
 
 
+def model_path(spark, folder, name):
+    """Where jobs that read the same files share a fitted model."""
+    sources = [lake.fingerprint(tables.table(spark, folder, t)) for t in ("lineitem", "orders", "part")]
+    return f"{shared_folder(spark)}/models/{name}-{'-'.join(s[:8] for s in sources)}"
+
+
 def _blunder_model(spark, folder):
     use_checkpoints(spark)
-    return train.train_blunder(_blunder_training(spark, folder), "row_id")
+    path = model_path(spark, folder, "blunder")
+    return train.fitted_once(spark, path, lambda: train.train_blunder(_blunder_training(spark, folder), "row_id"))
 
 
 @query("m09_blunder_model")
 def _(spark, folder):
-    return rounded(_blunder_model(spark, folder).metrics)
+    """Rows by class, and what has to hold of a fitted model and its six metrics."""
+    trained = _blunder_model(spark, folder)
+    booster = trained.model.stages[-1]
+    six = F.array("accuracy", "precision", "recall", "f1", "roc_auc", "pr_auc")
+    sound = F.forall(six, lambda m: m.between(0, 1))
+    facts = trained.metrics.select(sound.alias("metrics_in_range"), (c("roc_auc") > 0.5).alias("beats_chance"))
+    facts = facts.withColumns({"trees": F.lit(booster.getNumTrees), "depth": F.lit(booster.getMaxDepth())})
+    return trained.sizes.crossJoin(F.broadcast(facts))  # one row
 
 
 @query("m11_batch_scoring")
 def _(spark, folder):
-    trained = _blunder_model(spark, folder)
-    return tally(trained.scored.select("label", "score", "prediction"))
+    """The test rows of each class, all scored: four digits, calls that follow the threshold."""
+    scored = _blunder_model(spark, folder).scored
+    digits = F.abs(c("score") * 10_000 - F.round(c("score") * 10_000)) < 1e-6
+    follows = (c("score") == 0.5) | ((c("score") > 0.5).cast("int") == c("prediction"))
+    return scored.groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(c("score").between(0, 1) & digits).alias("n_scored"),
+        F.count_if(follows).alias("n_called"), F.min("row_id").alias("first_id"), F.max("row_id").alias("last_id"),
+    )
 
 
 @query("m26_o04_importances")
 def _(spark, folder):
-    return rounded(_blunder_model(spark, folder).importances)
+    """Importances add up to 1; each number and each category has its share."""
+    found = _blunder_model(spark, folder).importances
+    groups = [*frames.BLUNDER_NUMERIC, *frames.BLUNDER_CATEGORIES]
+    name = F.coalesce(*[F.when(F.startswith("feature", F.lit(g)), g) for g in groups])
+    known = found.groupBy(name.alias("feature")).agg(F.sum("importance").alias("share"), F.min("importance").alias("least"))
+    return rounded(
+        known.agg(
+            F.count("*").alias("features"), F.sum("share").alias("total"), F.count_if(c("least") < 0).alias("negative"),
+            F.count_if(c("feature").isNull()).alias("unnamed"),
+        )
+    )
 
 
 def _outcome_training(spark, folder):
@@ -1067,10 +1107,23 @@ def _outcome_training(spark, folder):
 
 
 def _outcome_models(spark, folder, boosted):
+    """Of each feature set and class: its rows, and how many test rows have sound probabilities and calls."""
     use_checkpoints(spark)
-    frame = _outcome_training(spark, folder)
-    fitted = {name: train.train_outcome(frame, "game_id", name, boosted=boosted).metrics for name in frames.OUTCOME_SETS}
-    return rounded(metrics.compare(fitted))
+    found = []
+    for name in frames.OUTCOME_SETS:
+        path = model_path(spark, folder, f"outcome-{name}-{'boosted' if boosted else 'forest'}")
+        trained = train.fitted_once(
+            spark, path, lambda: train.train_outcome(_outcome_training(spark, folder), "game_id", name, boosted=boosted)
+        )
+        p = c("probabilities")
+        total = F.aggregate(p, F.lit(0.0), lambda x, y: x + y)
+        sound = (F.size(p) == 3) & F.forall(p, lambda x: x.between(0, 1)) & (F.abs(total - 1) < 1e-9)
+        scored = trained.scored.groupBy(c("label").alias("class")).agg(
+            F.count_if(sound).alias("n_sound"), F.count_if(F.get(p, c("prediction")) == F.array_max(p)).alias("n_called")
+        )
+        loss = trained.metrics.select((c("log_loss") > 0).alias("loss_known"))
+        found.append(trained.sizes.join(scored, "class").crossJoin(F.broadcast(loss)).withColumn("feature_set", F.lit(name)))
+    return found[0].unionByName(found[1])
 
 
 @query("m10_outcome_models")
@@ -1155,12 +1208,30 @@ def _style_table(spark, folder):
 
 @query("m20_m22_clustered_players")
 def _(spark, folder):
-    return rounded(cluster.cluster_players(_style_table(spark, folder), clusters=4).assignments)
+    """Every eligible player has one cluster and a place; clusters differ in label; sizes add up."""
+    found = cluster.cluster_players(_style_table(spark, folder), clusters=4)
+    placed = c("pca_x").isNotNull() & c("pca_y").isNotNull()
+    each = found.assignments.groupBy("cluster").agg(
+        F.count("*").alias("n"), F.count_distinct("player").alias("own"), F.count_if(placed).alias("placed"),
+        F.min("style_label").alias("one"), F.max("style_label").alias("other"),
+    )
+    sizes = found.profiles.agg(F.sum("cluster_size")).scalar()
+    explained = found.metrics["pca_explained_variance_ratio"]
+    return each.agg(
+        F.sum("n").alias("players"), F.sum("own").alias("distinct_players"), F.sum("placed").alias("placed"),
+        F.count("*").alias("clusters"), F.count_distinct("one").alias("labels"), F.count_if(c("one") != c("other")).alias("mixed"),
+    ).withColumns({"profiled": sizes, "explained_in_range": F.lit(0 < explained <= 1)})
 
 
 @query("m21_cluster_sweep")
 def _(spark, folder):
-    return rounded(cluster.sweep(cluster.scaled(_style_table(spark, folder))))
+    """Every number of clusters with a sound silhouette and less inertia than the smallest has."""
+    found = cluster.sweep(cluster.scaled(_style_table(spark, folder)))
+    first = F.max_by("inertia", -c("clusters")).over(Window.partitionBy(F.lit(0)))
+    return found.select(
+        "clusters", c("silhouette_score").between(-1, 1).alias("silhouette_in_range"),
+        ((c("inertia") < first) | (c("inertia") == first) & (c("clusters") == 3)).alias("inertia_falls"),
+    )
 
 
 @query("m23_cluster_profiles")

@@ -8,11 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plymill.operators.keyed import exact_medians, heaviest
+from plymill.session import scratch_path
 
 RARE_LEVEL = "__infrequent__"
 FILLED = "_filled"
 
 
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """A frame written to the shared folder, so that the many passes of a fit read a table that outlives executors."""
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def medians(frame: DataFrame, columns: list[str]) -> dict[str, float]:
     """Exact median per column; all-null columns are left out."""
     return {row["feature"]: row["median"] for row in exact_medians(frame, columns).collect()}
@@ -41,20 +49,22 @@ def common_levels(frame: DataFrame, column: str, instead: str, min_count: int) -
 def filler(numbers: dict[str, float], levels: dict[str, str], common: dict[str, list[str]] | None = None) -> SQLTransformer:
     """Pipeline stage that adds ``<name>_filled``: nulls replaced, levels outside ``common`` folded.
 
-    Saved with the model, so that raw rows with nulls or new levels can be scored.
+    Saved with the model, so that raw rows with nulls or new levels can be scored.  Like the one-hot
+    encoder, it holds the levels; so give the levels of a bounded sample.
     """
 
     def quoted(text: str) -> str:
         return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    columns = [f"coalesce(cast(`{c}` AS double), {float(v)!r}D) AS `{c}{FILLED}`" for c, v in numbers.items()]
-    for c, instead in levels.items():
-        value = f"coalesce(cast(`{c}` AS string), {quoted(instead)})"
-        if common is not None:
-            known = ", ".join(map(quoted, common[c])) or "NULL"
-            value = f"CASE WHEN {value} IN ({known}) THEN {value} ELSE {quoted(RARE_LEVEL)} END"
-        columns.append(f"{value} AS `{c}{FILLED}`")
-    return SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__")
+    filled = [f"coalesce(cast(`{c}` AS double), {float(v)!r}D) AS `{c}{FILLED}`" for c, v in numbers.items()]
+    filled += [f"coalesce(cast(`{c}` AS string), {quoted(instead)}) AS `{c}{FILLED}`" for c, instead in levels.items()]
+    inner = f"SELECT *, {', '.join(filled)} FROM __THIS__"
+    if common is None:
+        return SQLTransformer(statement=inner)
+    names = [f"{c}{FILLED}" for c in levels]
+    known = {c: ", ".join(map(quoted, common[c])) or "NULL" for c in levels}
+    folded = [f"if(`{c}{FILLED}` IN ({known[c]}), `{c}{FILLED}`, {quoted(RARE_LEVEL)}) AS `{c}{FILLED}`" for c in levels]
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{n}`' for n in names)}), {', '.join(folded)} FROM ({inner})")
 
 
 def impute_levels(frame: DataFrame, columns: list[str], fitted_on: DataFrame | None = None) -> DataFrame:

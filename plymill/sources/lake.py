@@ -30,12 +30,18 @@ def read_game_blocks(spark: SparkSession, path: str, partitions: int | None = No
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a scan over all cores when it comes in fewer pieces than there are cores.
+    """Deal a narrow scan by the keys of the join that follows, which then needs no shuffle of its own.
 
-    One small file is one task; anything larger passes through unshuffled.
+    A single file of one row group would otherwise be one task; adaptive execution sizes the partitions.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(*keys)
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A digest of the files a scan reads: their paths, sizes and times of change."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    digest = F.md5(F.array_join(F.array_sort(F.collect_list(F.md5(F.concat_ws("|", *files.columns)))), ""))
+    return files.agg(digest.alias("digest")).first()["digest"]
 
 
 def write_landing(raw: DataFrame, path: str, *, rows_per_file: int = 100_000) -> None:

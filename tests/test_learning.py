@@ -1,3 +1,4 @@
+import inspect
 import math
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from plymill.ml import cluster, frames, metrics, prep, train
-from plymill.session import use_checkpoints
+from plymill.session import scratch_path, use_checkpoints
 
 
 def auc(pairs):
@@ -135,23 +136,76 @@ def test_player_clusters(spark):
         frames.validate_clusters(frame, 61)
 
 
+def outcomes(spark, n):
+    names = frames.OUTCOME_NUMERIC + frames.OUTCOME_PLAYED
+    return spark.range(n).select(
+        F.concat(F.lit("g"), "id").alias("game_id"),
+        F.element_at(F.array(*[F.lit(r) for r in ("white_win", "black_win", "draw")]), (F.col("id") % 3 + 1).cast("int")).alias("result"),
+        *[(F.col("id") % 3 * 10 + F.col("id") % 7).cast("double").alias(n) for n in names],
+        *[F.concat(F.lit("c"), F.col("id") % 4).alias(n) for n in frames.OUTCOME_CATEGORIES],
+    )
+
+
+def test_boosted_outcomes_have_probabilities(spark, tmp_path):
+    use_checkpoints(spark)
+    rows = outcomes(spark, 150)
+    trained = train.train_outcome(rows, "game_id", "post_game", trees=3, boosted=True)
+    scored = trained.scored.collect()
+    assert len(scored) == 30 and all(len(r.probabilities) == 3 and abs(sum(r.probabilities) - 1) < 1e-12 for r in scored)
+    assert all(r.probabilities[r.prediction] == max(r.probabilities) for r in scored)
+    row = trained.metrics.first()
+    assert row["accuracy"] > 0.9 and 0 < row["log_loss"] < math.log(3)
+    assert abs(trained.importances.agg(F.sum("importance")).first()[0] - 1) < 1e-9
+    assert [m.getNumTrees for m in trained.model.stages[-3:]] == [3] * 3
+    trained.model.save(str(tmp_path / "m"))
+    raw = rows.withColumn("eco_code", F.lit("new")).withColumn("white_elo", F.lit(None).cast("double")).drop("result")
+    again = train.score_outcomes(PipelineModel.load(str(tmp_path / "m")), raw)
+    assert again.columns == [*raw.columns, "prediction", "probabilities"]
+    assert again.filter("size(probabilities) = 3 and prediction between 0 and 2").count() == 150
+
+
+def test_fit_reads_a_bounded_exact_sample(spark):
+    use_checkpoints(spark)
+    trained = train.train_blunder(blunders(spark, 1000), "row_id", trees=2, max_fit_rows=100)
+    sizes = {r["class"]: (r.train_rows, r.fit_rows, r.test_rows) for r in trained.sizes.collect()}
+    assert sizes == {0: (640, 80, 160), 1: (160, 20, 40)}
+    assert trained.scored.count() == 200
+
+
+def test_fitted_once(spark, tmp_path):
+    use_checkpoints(spark)
+    calls = []
+
+    def fit():
+        calls.append(1)
+        return train.train_blunder(blunders(spark, 200), "row_id", trees=2)
+
+    one, two = (train.fitted_once(spark, str(tmp_path / "kept"), fit) for _ in range(2))
+    assert len(calls) == 1
+    assert sorted(one.scored.collect()) == sorted(two.scored.collect())
+    assert one.metrics.collect() == two.metrics.collect() and two.sizes.count() == 2
+    assert train.score_blunders(two.model, blunders(spark, 20)).count() == 20
+
+
 def test_registered_models_fit_all_trees(spark, small, monkeypatch):
+    """The registered jobs use the full number of trees; few are fitted here, for real."""
     from plymill import catalog
 
-    fitted = []
+    asked = []
+    blunder, outcome = train.train_blunder, train.train_outcome
+    defaults = (inspect.signature(f).parameters["trees"].default for f in (blunder, outcome))
+    assert tuple(defaults) == (250, 180)
 
-    class Enough(Exception):
-        pass
+    def few(real):
+        def fit(*args, **options):
+            asked.append(options.pop("trees", None))
+            return real(*args, trees=2, **options)
 
-    class Caught(train.Pipeline):
-        def fit(self, *args, **kwargs):
-            fitted.append(self.getStages()[-1])
-            raise Enough
+        return fit
 
-    monkeypatch.setattr(train, "Pipeline", Caught)
+    monkeypatch.setattr(train, "train_blunder", few(blunder))
+    monkeypatch.setattr(train, "train_outcome", few(outcome))
+    monkeypatch.setattr(catalog, "model_path", lambda spark, folder, name: scratch_path(spark, name))
     for name in ("m09_blunder_model", "m11_batch_scoring", "m26_o04_importances", "m10_outcome_models", "m10_boosted_outcome_models"):
-        with pytest.raises(Enough):
-            catalog.QUERIES[name](spark, small)
-    *boosters, forest, per_class = fitted
-    assert [b.getMaxIter() for b in boosters] == [250] * 3 and forest.getNumTrees() == 180
-    assert per_class.getClassifier().getMaxIter() == 180
+        assert catalog.QUERIES[name](spark, small).count() > 0
+    assert asked == [None] * 7
