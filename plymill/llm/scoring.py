@@ -5,43 +5,45 @@ context mixes three estimates: its share after that context, its share of all to
 an even share.  The mixture weights depend on how often the context was seen: contexts
 fall into buckets by powers of two, and each bucket's weights come from
 expectation-maximisation on counts of a held-out seventh of the training texts, against
-estimates from the other training texts.  The final estimates use all training texts.
+estimates from the other training texts.  For that step alone, estimates are rounded to eighths of a power of two, so that
+held-out tokens become a small histogram.  The final estimates use all training texts, unrounded.
 
 A context is the word before, whatever its frequency, or the start of a text.  A word that
 the training texts lack counts as a context seen 0 times.
 
-Tokens are dealt in blocks.  The CONTEXTS most frequent words have their totals known to all
-tasks and are dealt by word and context, so no word fills one block.  Other words are dealt
-by word, and a frequent word after another one by the context; so a block's group holds all
-entries of a pair and of a rare word.  The totals of rare contexts are joined to the blocks
-by a shuffle: each goes to the block of its own word, and to those blocks of rare words that
-ask for it.  Results do not depend on CONTEXTS.  The blocks are shuffled once and read
-twice, for the weights and for the scores.
+Texts are dealt once, by whole slices, in pieces of about PIECE_TOKENS tokens.  A piece counts its own distinct words and pairs,
+so a frequent pair is one entry per piece; the entries are dealt by ranges of their 56-bit keys, summed, and answered to the
+pieces that asked.  Texts, keys and counts travel compressed.  A piece then has all counts of its texts at hand, first for the weights, then for
+the scores.  Nothing but counts of tokens and the weights is known to all tasks.  The answers are matched by place, so ``docs``
+has to give the same rows each time, as a table does.
 
-Texts with equal token sequences share one score.  Null and blank texts are a lone end.
+Equal texts of a slice are one, with the list of their rows.  Null and blank texts are a lone end.
 Rows without ``doc_id`` count as training; repeated rows count each time.  Without
-training texts the base score is 0 and only the even share remains.
+training texts the base score is 0 and only the even share remains.  An empty table gives an empty table.  Texts are read whole, at
+any length.  Only ``doc_id``, ``text`` and the given condition are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from plymill.llm.blocks import bucket_count, buckets_of, deal, gather, pack, runs
-from plymill.llm.graphs import small_batches, stored
+from plymill.llm.graphs import small_batches
 from plymill.llm.words import Slice, mix, slices, spans
 
-#: So many words are dealt by pair, as one of them could fill a block; this bounds what all tasks know, not the contexts.
-CONTEXTS = 32_000
-ENTRIES = 4_000_000
+PIECE_TOKENS = 1_500_000
+#: Entries of a bucket of keys, about.
+ENTRIES = 2_000_000
+KEY_BITS = 56
 END = np.uint64(0x0E0F)
+START = np.uint64(0x57A7)
 TEST, CORE, FOLD = 0, 1, 2
 STEPS = 8
 ROUNDS = 60
-LOW = np.uint64((1 << 48) - 1)
 _NONE = -10_000
 
 
@@ -58,185 +60,169 @@ def digests(token: np.ndarray, offset: np.ndarray) -> np.ndarray:
     return spans(token, offset[:-1], offset[1:])
 
 
-def unigrams(docs: DataFrame) -> DataFrame:
-    """(token, n, core): how often training texts, and those outside the fold, hold each token."""
+def token_totals(rows: DataFrame) -> tuple[int, int, int]:
+    """Tokens of all texts, of training texts, and of training texts outside the fold."""
 
     def counted(batches):
-        held: list[tuple] = []
-        size = 0
+        for piece in slices(batches, lower=True):
+            n = piece.counts + 1
+            kind = piece.column("kind")
+            yield pa.RecordBatch.from_pydict({k: [int(n[own].sum())] for k, own in (("n", kind >= 0), ("train", kind != TEST), ("core", kind == CORE))})
 
-        def merged():
-            token, back = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            sums = [np.bincount(back, weights=np.concatenate([h[i] for h in held])).astype(np.int64) for i in (1, 2)]
-            return token, *sums
+    found = rows.select("text", "kind").mapInArrow(counted, "n long, train long, core long")
+    return tuple(x or 0 for x in found.agg(F.sum("n"), F.sum("train"), F.sum("core")).first())
 
-        def rows(found):
-            return pa.RecordBatch.from_arrays([pa.array(found[0].view(np.int64)), pa.array(found[1]), pa.array(found[2])], ["token", "n", "core"])
 
-        for piece in slices(batches, lower=True):
-            token, offset = tokens(piece)
-            core = np.repeat(piece.column("kind") == CORE, np.diff(offset))
-            kinds, back = np.unique(token, return_inverse=True)
-            held.append((kinds, np.bincount(back), np.bincount(back, weights=core)))
-            size += len(kinds)
-            if size > 1_500_000:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > 750_000:
-                    yield rows(held[0])
-                    held, size = [], 0
-        if held:
-            yield rows(merged())
-
-    rows = docs.where(F.col("kind") != TEST).select("text", "kind").mapInArrow(counted, "token long, n long, core long")
-    return rows.groupBy("token").agg(F.sum("n").alias("n"), F.sum("core").alias("core"))
-
-
-class Contexts:
-    """The frequent words with their counts, and the count of the start."""
-
-    def __init__(self, rows: list[tuple[int, int, int]], texts: tuple[int, int]):
-        token = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        order = np.argsort(token)
-        self.token = token[order]
-        self.counts = np.array([r[1:] for r in rows], np.int64).reshape(-1, 2)[order]
-        self.rare, self.start = len(rows), len(rows) + 1
-        self.seen = np.concatenate([self.counts, [(0, 0)], [texts]]).astype(np.int64)
-
-    def find(self, found: np.ndarray) -> np.ndarray:
-        """Place of each token, or that of all rare ones."""
-        if not len(self.token):
-            return np.full(len(found), self.rare, np.int64)
-        at = np.minimum(np.searchsorted(self.token, found), len(self.token) - 1)
-        return np.where(self.token[at] == found, at, self.rare)
-
-
-def _neighbours(token: np.ndarray, offset: np.ndarray, contexts: Contexts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each token: its place, the place of its context, and the word before."""
-    place = contexts.find(token)
-    near, before = np.empty(len(token), np.int64), np.zeros(len(token), np.uint64)
-    near[1:], before[1:] = place[:-1], token[:-1]
-    near[offset[:-1]] = contexts.start
-    return place, near, before
-
-
-def _far(word: np.ndarray) -> np.ndarray:
-    """48 bits of a rare context, the upper 32 of them never all zero, which marks frequent ones."""
-    return (np.maximum(word >> np.uint64(16) & np.uint64(0xFFFFFFFF), np.uint64(1)) << np.uint64(16)) | (word & np.uint64(0xFFFF))
-
-
-def _blocks(docs: DataFrame, contexts: Contexts, buckets: int) -> DataFrame:
-    """Every token with its context; equal texts of a slice come once, with the number of each kind."""
+def packed(*arrays: np.ndarray) -> bytes:
+    return pa.compress(b"".join(a.tobytes() for a in arrays), codec="zstd", asbytes=True)
+
+
+def unpacked(blob: pa.Scalar, dtype: type, n: int, arrays: int = 2) -> np.ndarray:
+    """The ``arrays`` arrays of ``n`` values that were packed, as rows."""
+    raw = pa.decompress(blob.as_buffer(), n * arrays * np.dtype(dtype).itemsize, codec="zstd")
+    return np.frombuffer(raw, dtype).reshape(arrays, n)
+
+
+def _dealt(rows: DataFrame, pieces: int) -> DataFrame:
+    """Slices with their piece: the distinct texts, how many core and fold rows each has, and those rows."""
 
     def made(batches):
         for piece in slices(batches, lower=True):
-            token, offset = tokens(piece)
-            sid = digests(token, offset)
+            sid = digests(*tokens(piece))
             names, first, back = np.unique(sid, return_index=True, return_inverse=True)
             kind = piece.column("kind")
-            many = {name: np.bincount(back, weights=kind == k, minlength=len(names)).astype(np.int16)[back] for k, name in ((CORE, "core"), (FOLD, "fold"))}
-            once = np.zeros(len(sid), bool)
-            once[first] = True
-            owner = np.repeat(np.arange(len(sid)), np.diff(offset))
-            use = once[owner]
-            place, near, before = (x[use] for x in _neighbours(token, offset, contexts))
-            token, owner = token[use], owner[use]
-            rare = near == contexts.rare
-            context = np.where(rare, _far(before), near.astype(np.uint64))
-            dealt = np.where(place == contexts.rare, token, np.where(rare, before, mix(token ^ near.astype(np.uint64), 5)))
-            yield deal(
-                buckets_of(dealt, buckets),
-                owner,
-                {"sid": sid.view(np.int64), **many},
-                {"high": (token >> np.uint64(16)).astype(np.uint32).view(np.int32), "low": token.astype(np.uint16).view(np.int16), "far": (context >> np.uint64(16)).astype(np.uint32).view(np.int32), "near": context.astype(np.uint16).view(np.int16)},
-            )
-
-    kind = "bucket int, sid array<long>, core array<short>, fold array<short>, owner array<short>, high array<int>, low array<short>, far array<int>, near array<short>"
-    return docs.select("text", "kind").mapInArrow(made, kind)
-
-
-def _context_counts(docs: DataFrame, counts: DataFrame, contexts: Contexts, buckets: int) -> DataFrame:
-    """(bucket, word, n, core): counts of rare words, at their own bucket and at those of the rare words that follow them."""
-
-    def asked(batches):
-        for piece in slices(batches, lower=True):
-            token, offset = tokens(piece)
-            place, near, before = _neighbours(token, offset, contexts)
-            use = (place == contexts.rare) & (near == contexts.rare)
-            word, to = before[use], buckets_of(token[use], buckets)
-            other = buckets_of(word, buckets) != to
-            both = np.unique(np.stack([word[other].view(np.int64), to[other]]), axis=1)
-            yield pack(buckets_of(both[0].view(np.uint64), buckets), {"word": both[0], "to": both[1].astype(np.int32)})
-
-    schema = pa.schema({"bucket": pa.int32(), **{c: pa.list_(pa.int64()) for c in ("word", "n", "core")}})
-
-    def answered(want: pa.Table, have: pa.Table) -> pa.Table:
-        if not have.num_rows:
-            return schema.empty_table()
-        word, n, core = (have.column(c).to_numpy() for c in ("token", "n", "core"))
-        order = np.argsort(word)
-        word, n, core = word[order], n[order], core[order]
-        own = np.flatnonzero(contexts.find(word.view(np.uint64)) == contexts.rare)
-        at, to = own, np.full(len(own), buckets_of(word[:1].view(np.uint64), buckets)[0])
-        if want.num_rows:
-            wanted = np.unique(np.stack([want.column(c).combine_chunks().flatten().to_numpy() for c in ("word", "to")]), axis=1)
-            found = np.minimum(np.searchsorted(word, wanted[0]), len(word) - 1)
-            hit = word[found] == wanted[0]
-            at, to = np.concatenate([at, found[hit]]), np.concatenate([to, wanted[1][hit]])
-        return pa.Table.from_batches([pack(to, {"word": word[at], "n": n[at], "core": core[at]})]).cast(schema)
-
-    want = docs.select("text").mapInArrow(asked, "bucket int, word array<long>, to array<int>")
-    have = counts.withColumn("bucket", F.pmod(F.shiftrightunsigned("token", 48), F.lit(buckets)).cast("int"))
-    return want.groupBy("bucket").cogroup(have.groupBy("bucket")).applyInArrow(answered, "bucket int, word array<long>, n array<long>, core array<long>")
-
-
-class _Group:
-    """The entries of a bucket, sorted by token and context, with their counts; ``facts`` has the counts of rare contexts."""
-
-    def __init__(self, table: pa.Table, facts: pa.Table, contexts: Contexts):
-        got = gather(table, ["sid", "core", "fold"], ["high", "low", "far", "near"])
-        token = (got["high"].view(np.uint32).astype(np.int64) << 16) | got["low"].view(np.uint16)
-        context = (got["far"].view(np.uint32).astype(np.int64) << 16) | got["near"].view(np.uint16)
-        order = np.lexsort((context, token))
-        self.token, self.context, self.owner = token[order], context[order], got["owner"][order]
-        self.core, self.fold = got["core"].astype(np.int64), got["fold"].astype(np.int64)
-        self.sid = got["sid"]
-        new, both = runs(self.token), runs(self.token, self.context)
-        self.word, self.pair = np.cumsum(new) - 1, np.cumsum(both) - 1
-        known = (contexts.token & LOW).astype(np.int64)
-        rank = np.argsort(known)
-        here = self.token[new]
-        at = rank[np.minimum(np.searchsorted(known[rank], here), max(len(rank) - 1, 0))] if len(rank) else np.zeros(len(here), np.int64)
-        self.listed = known[at] == here if len(rank) else np.zeros(len(here), bool)
-        self.place = at
-        self.contexts = contexts
-        self.rare = self.context >> 16 > 0
-        word, *totals = (facts.column(c).combine_chunks().flatten().to_numpy() for c in ("word", "n", "core"))
-        word = _far(word.view(np.uint64)).astype(np.int64)
-        order = np.argsort(word)
-        self.others, self.totals = word[order], [x[order] for x in totals]
-
-    def seen(self, column: int) -> np.ndarray:
-        """How often each entry's context was seen."""
-        out = np.zeros(len(self.context), np.int64)
-        out[~self.rare] = self.contexts.seen[self.context[~self.rare], column]
-        if len(self.others):
-            own = self.context[self.rare]
-            at = np.minimum(np.searchsorted(self.others, own), len(self.others) - 1)
-            out[self.rare] = np.where(self.others[at] == own, self.totals[column][at], 0)
-        return out
+            counts = [np.bincount(back[kind == k], minlength=len(names)).astype(np.int32) for k in (CORE, FOLD)]
+            size = (piece.bounds[first + 1] - piece.bounds[first]).astype(np.int32)
+            texts = [piece.data[a:b] for a, b in zip(piece.bounds[first].tolist(), piece.bounds[first + 1].tolist(), strict=True)]
+            to = int(mix(names.sum(keepdims=True), 5)[0] % np.uint64(pieces))
+            lists = [size, *counts, back.astype(np.int32)]
+            lists = [pa.array([v], pa.list_(pa.int32())) for v in lists]
+            lists += [pa.ListArray.from_arrays([0, len(back)], piece.rows.column(c)) for c in ("doc_id", "held_out")]
+            columns = [pa.array([to], pa.int32()), pa.array([packed(*texts)], pa.binary()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["piece", "texts", "size", "core", "fold", "place", "ids", "held"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    lists = "size array<int>, core array<int>, fold array<int>, place array<int>"
+    return rows.mapInArrow(made, f"piece int, texts binary, {lists}, ids array<{kind}>, held array<boolean>")
+
+
+class _Keys:
+    """The distinct keys of a piece, ascending, and the place of each token's key among them."""
+
+    def __init__(self, key: np.ndarray, buckets: int):
+        self.key, place = np.unique(key >> np.uint64(64 - KEY_BITS), return_inverse=True)
+        self.place = place.astype(np.int32)
+        self.buckets = buckets
+
+    def asked(self, piece: int, is_word: bool, core: np.ndarray, fold: np.ndarray) -> pa.Table:
+        """A row for each bucket with the gaps between its keys, and how often this piece has them in core and fold texts."""
+        cuts = np.arange(1, self.buckets, dtype=np.uint64) * np.uint64((1 << KEY_BITS) // self.buckets)
+        row = np.concatenate([[0], np.searchsorted(self.key, cuts), [len(self.key)]])
+        sums = [np.bincount(self.place, weights=w, minlength=len(self.key)).astype(np.int32) for w in (core, fold)]
+        found = []
+        for bucket in np.flatnonzero(np.diff(row)).tolist():
+            own = slice(row[bucket], row[bucket + 1])
+            gap = np.diff(self.key[own], prepend=np.uint64(0))
+            halves = gap.astype(np.uint32), (gap >> np.uint64(32)).astype(np.uint32)
+            found.append((bucket, piece, is_word, own.stop - own.start, packed(*halves), packed(*(v[own] for v in sums))))
+        names = ["bucket", "piece", "is_word", "size", "keys", "counts"]
+        kinds = [pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.binary(), pa.binary()]
+        return pa.table({c: pa.array(v, t) for c, v, t in zip(names, zip(*found, strict=True), kinds, strict=True)})
+
+    def answers(self, table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of each key over all training texts, and over the fold."""
+        order = np.argsort(table.column("bucket").to_numpy())
+        blobs, sizes = table.column("counts"), table.column("size").to_numpy()
+        if sizes.sum() != len(self.key):
+            raise RuntimeError("the texts of a piece changed between two readings; write them to a table first")
+        return tuple(np.concatenate([unpacked(blobs[i], np.int64, sizes[i]) for i in order.tolist()], axis=1))
+
+
+class _Piece:
+    """The tokens of a group of slices; ``words`` and ``pairs`` are their keys."""
+
+    def __init__(self, table: pa.Table, buckets: int):
+        self.table = table
+        found = [tokens(piece) for piece in slices(self._texts(), lower=False)]
+        token = np.concatenate([t for t, _ in found])
+        self.size = np.concatenate([np.diff(offset) for _, offset in found])
+        del found
+        self.first = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+        before = np.empty_like(token)
+        before[1:] = token[:-1]
+        before[self.first] = START
+        self.words = _Keys(mix(token, 9), buckets)
+        self.pairs = _Keys(mix(mix(before, 3) ^ token, 5), buckets)
+        self.core, self.fold = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("core", "fold"))
+
+    def _texts(self):
+        for blob, size in zip(self.table.column("texts"), self.table.column("size"), strict=True):
+            offset = np.concatenate([[0], np.cumsum(size.values.to_numpy())]).astype(np.int32)
+            raw = pa.py_buffer(unpacked(blob, np.uint8, int(offset[-1]), 1))
+            texts = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offset), raw])
+            yield pa.RecordBatch.from_arrays([texts], ["text"])
+
+    def rows(self, values: dict[str, np.ndarray]) -> pa.Table:
+        """Values of the texts, for each row that has the text."""
+        place = self.table.column("place").combine_chunks()
+        texts = np.array([len(size) for size in self.table.column("size")])
+        base = np.repeat(np.cumsum(texts) - texts, np.diff(place.offsets.to_numpy()))
+        at = place.flatten().to_numpy() + base
+        ids, held = (self.table.column(c).combine_chunks().flatten() for c in ("ids", "held"))
+        return pa.table({"doc_id": ids, "held_out": held} | {c: pa.array(v[at]) for c, v in values.items()})
+
+    def each(self, values: np.ndarray) -> np.ndarray:
+        return np.repeat(values, self.size)
+
+    def counted(self, answers: pa.Table) -> tuple[list, list, list]:
+        """Of each token (all, fold) counts: of itself, of itself after its context, and of its context."""
+        is_word = answers.column("is_word")
+        word = self.words.answers(answers.filter(is_word))
+        pair = self.pairs.answers(answers.filter(pc.invert(is_word)))
+        word, pair = ([v[keys.place] for v in found] for found, keys in ((word, self.words), (pair, self.pairs)))
+        context = [np.empty_like(v) for v in word]
+        for v, c in zip(word, context, strict=True):
+            c[1:] = v[:-1]
+            c[self.first] = v[-1]  # texts start as often as they end, and the last token is an end
+        return word, pair, context
 
     def level(self, seen: np.ndarray) -> np.ndarray:
-        """Frequency bucket of each entry's context; the start has its own."""
+        """Frequency bucket of each token's context; the start has its own."""
         level = np.floor(np.log2(seen + 1.0)).astype(np.int64)
-        return np.where(self.context == self.contexts.start, 63, level)
-
-    def counts(self, weight: np.ndarray, column: int) -> tuple[np.ndarray, np.ndarray]:
-        """Of each entry: its token's count, and its token's count after its context."""
-        w = weight[self.owner].astype(np.float64)
-        word = np.bincount(self.word, weights=w)
-        word[self.listed] = self.contexts.counts[self.place[self.listed], column]
-        return word[self.word], np.bincount(self.pair, weights=w)[self.pair]
+        level[self.first] = 63
+        return level
+
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, self.first)
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Answers to all rows of a bucket; ``types``, on one row, counts the words that training texts hold."""
+    heads = [table.column(c).to_numpy() for c in ("is_word", "size")]
+    keys, counts = table.column("keys"), table.column("counts")
+    answers: list[bytes | None] = [None] * table.num_rows
+    types = 0
+    for is_word in (True, False):
+        own = np.flatnonzero(heads[0] == is_word).tolist()
+        if not own:
+            continue
+        key = []
+        for i in own:
+            low, high = unpacked(keys[i], np.uint32, heads[1][i]).astype(np.uint64)
+            key.append(np.cumsum((high << np.uint64(32)) | low))
+        names, back = np.unique(np.concatenate(key), return_inverse=True)
+        del key
+        core, fold = np.concatenate([unpacked(counts[i], np.int32, heads[1][i]) for i in own], axis=1)
+        folds = np.bincount(back, weights=fold).astype(np.int64)
+        n = np.bincount(back, weights=core).astype(np.int64) + folds
+        if is_word:
+            types = int((n > 0).sum())
+        stop = np.cumsum(heads[1][own])
+        for i, a, b in zip(own, (stop - heads[1][own]).tolist(), stop.tolist(), strict=True):
+            answers[i] = packed(n[back[a:b]], folds[back[a:b]])
+    found = table.select(["piece", "bucket", "is_word", "size"])
+    found = found.append_column("counts", pa.array(answers, pa.binary()))
+    return found.append_column("types", pa.array([types] + [0] * (found.num_rows - 1), pa.int64()))
 
 
 def _ratio(a: np.ndarray, b) -> np.ndarray:
@@ -271,94 +257,71 @@ def scores(docs: DataFrame, held_out: Column) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     rows = with_kinds(docs, held_out)
-    counts = stored(unigrams(rows), "unigrams")
-    total, core, types = (x or 0 for x in counts.agg(F.sum("n"), F.sum("core"), F.count("*")).first())
-    ends = counts.where(F.col("token") == int(END)).agg(F.sum("n"), F.sum("core")).first()
-    ends = (ends[0] or 0, ends[1] or 0)
-    top = counts.orderBy(F.desc("n"), "token").limit(CONTEXTS).collect()
-    contexts = Contexts([tuple(r) for r in top], ends)
-    buckets = bucket_count(total * 7 // 6 + 1, ENTRIES)
-    blocks = _blocks(rows, contexts, buckets)
-    facts = _context_counts(rows, counts, contexts, buckets)
-    even = 1.0 / (types + 1)
+    everything, total, core = token_totals(rows)
+    pieces = max(1, -(-everything // PIECE_TOKENS))
+    buckets = max(1, -(-everything // ENTRIES))
+    dealt = _dealt(rows, pieces)
+
+    def asked(table: pa.Table) -> pa.Table:
+        piece, number = _Piece(table, buckets), table.column("piece")[0].as_py()
+        weights = [piece.each(w) for w in (piece.core, piece.fold)]
+        return pa.concat_tables([piece.words.asked(number, True, *weights), piece.pairs.asked(number, False, *weights)])
+
+    ask = "bucket int, piece int, is_word boolean, size int, keys binary, counts binary"
+    answer = "piece int, bucket int, is_word boolean, size int, counts binary, types long"
+    answers = dealt.groupBy("piece").applyInArrow(asked, ask).groupBy("bucket").applyInArrow(_summed, answer)
 
     def histogram(table: pa.Table, found: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return pa.schema({"key": pa.int64(), "n": pa.int64()}).empty_table()
-        group = _Group(table, found, contexts)
-        word, pair = group.counts(group.core, 1)
-        seen = group.seen(1)
-        times = group.fold[group.owner]
+        piece = _Piece(table, buckets)
+        times = piece.each(piece.fold)
         use = times > 0
-        p2, p1 = _ratio(pair, seen), word / max(core, 1)
+        word, pair, seen = (n - fold for n, fold in piece.counted(found))
+        p2, p1 = _ratio(pair[use], seen[use]), word[use] / max(core, 1)
         with np.errstate(divide="ignore"):
-            q = [np.where(p > 0, np.rint(np.log2(p) * STEPS), _NONE).astype(np.int64)[use] for p in (p2, p1)]
-        level = group.level(seen)[use]
+            q = [np.where(p > 0, np.rint(np.log2(p) * STEPS), _NONE).astype(np.int64) for p in (p2, p1)]
+        level = piece.level(seen)[use]
         key, back = np.unique((level * 20_001 + q[0] + 10_000) * 20_001 + q[1] + 10_000, return_inverse=True)
         n = np.bincount(back, weights=times[use], minlength=len(key)).astype(np.int64)
-        return pa.Table.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+        types = pc.sum(found.column("types")).as_py()
+        return pa.Table.from_arrays([pa.array([-1, *key.tolist()], pa.int64()), pa.array([types, *n.tolist()], pa.int64())], ["key", "n"])
 
     def weights(table: pa.Table) -> pa.Table:
         key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
+        types = int(n[key < 0].sum())
+        key, n = key[key >= 0], n[key >= 0]
+        order = np.argsort(key)
+        key, n = key[order], n[order]
         q2, q1 = key // 20_001 % 20_001 - 10_000, key % 20_001 - 10_000
         p2, p1 = (np.where(q > _NONE, np.exp2(q / STEPS), 0.0) for q in (q2, q1))
-        found = learn(key // (20_001 * 20_001), p2, p1, even, n)
-        return pa.Table.from_pydict({"weights": [found.ravel().tolist()]}, pa.schema({"weights": pa.list_(pa.float64())}))
+        found = learn(key // (20_001 * 20_001), p2, p1, 1.0 / (types + 1), n)
+        return pa.Table.from_pydict({"weights": [found.ravel().tolist()], "all_types": pa.array([types], pa.int64())})
+
+    def cogrouped(other: DataFrame, made, kind: str) -> DataFrame:
+        return dealt.groupBy("piece").cogroup(other.groupBy("piece")).applyInArrow(made, kind)
 
     # at most a few hundred steps of each estimate for each of 64 levels, whatever the input
-    seen = blocks.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(histogram, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    learned = seen.groupBy().applyInArrow(weights, "weights array<double>")
-    default = spark.createDataFrame([([0.4, 0.5, 0.1] * 64, 0)], "weights array<double>, learned int")
-    learned = learned.withColumn("learned", F.lit(1)).unionByName(default)
-    learned = learned.groupBy().agg(F.max_by("weights", "learned").alias("weights"))
-    learned = learned.select(F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"), "weights")
-    facts = facts.unionByName(learned, allowMissingColumns=True)
-    schema = pa.schema({"bucket": pa.int32(), "sid": pa.list_(pa.int64()), "owner": pa.list_(pa.int16()), **{c: pa.list_(t) for c, t in (("n_tokens", pa.int32()), ("n_known", pa.int32()), ("base", pa.float64()), ("score", pa.float64()))}})
+    steps = cogrouped(answers, histogram, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    learned = steps.groupBy().applyInArrow(weights, "weights array<double>, all_types long")
+    learned = learned.select(F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))).alias("piece"), "weights", "all_types")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    result = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    types = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base_score": pa.float64(), "score": pa.float64()}
+    nothing = pa.schema({"doc_id": to_arrow_schema(docs.select("doc_id").schema).field(0).type, "held_out": pa.bool_(), **types}).empty_table()
 
     def scored(table: pa.Table, found: pa.Table) -> pa.Table:
         if not table.num_rows:
-            return schema.empty_table()
-        mixture = np.array(found.column("weights").drop_null()[0].as_py()).reshape(64, 3)
-        group = _Group(table, found, contexts)
-        word, pair = group.counts(group.core + group.fold, 0)
-        seen = group.seen(0)
-        w = mixture[group.level(seen)]
-        p = w[:, 0] * _ratio(pair, seen) + w[:, 1] * word / max(total, 1) + w[:, 2] * even
-        names, first = np.unique(group.sid, return_index=True)  # of equal texts, one stands for all
-        use = np.zeros(len(group.sid), bool)
-        use[first] = True
-        entry = use[group.owner]
-        place = np.searchsorted(names, group.sid)[group.owner[entry]]
-        sums = [np.bincount(place, weights=x, minlength=len(names)) for x in (np.ones(entry.sum()), word[entry] > 0, np.log10((word[entry] + 1) / (total + types + 1)), np.log10(p[entry]))]
-        to = (mix(names.view(np.uint64), 3) % np.uint64(buckets)).astype(np.int64)
-        parts = []
-        for a in range(0, len(names), 30_000):  # owners are counted in 16 bits
-            part = slice(a, a + 30_000)
-            entries = dict(zip(("n_tokens", "n_known", "base", "score"), (x[part] for x in sums), strict=True))
-            entries |= {c: entries[c].astype(np.int32) for c in ("n_tokens", "n_known")}
-            parts.append(deal(to[part], np.arange(len(names[part])), {"sid": names[part]}, entries))
-        return pa.Table.from_batches(parts).select(schema.names).cast(schema)
-
-    def summed(table: pa.Table) -> pa.Table:
-        got = gather(table, ["sid"], ["n_tokens", "n_known", "base", "score"])
-        names, back = np.unique(got["sid"][got["owner"]], return_inverse=True)
-        order = np.lexsort((got["score"], got["base"], back))  # one order of adding, so that reruns agree
-        sums = {c: np.bincount(back[order], weights=got[c][order], minlength=len(names)) for c in ("n_tokens", "n_known", "base", "score")}
-        return pa.Table.from_pydict({"sid": names, **{c: v.astype(np.int64) if c[0] == "n" else v for c, v in sums.items()}})
-
-    kind = "bucket int, sid array<long>, owner array<short>, n_tokens array<int>, n_known array<int>, base array<double>, score array<double>"
-    parts = blocks.groupBy("bucket").cogroup(facts.groupBy("bucket")).applyInArrow(scored, kind)
-    by_text = parts.groupBy("bucket").applyInArrow(summed, "sid long, n_tokens long, n_known long, base double, score double")
-
-    def named(batches):
-        for piece in slices(batches, lower=True):
-            sid = pa.array(digests(*tokens(piece)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([piece.rows.column("doc_id"), piece.rows.column("held_out"), sid], ["doc_id", "held_out", "text_id"])
-
-    id_kind = docs.schema["doc_id"].dataType.simpleString()
-    texts = rows.select("doc_id", "held_out", "text").mapInArrow(named, f"doc_id {id_kind}, held_out boolean, text_id long")
-    joined = texts.join(by_text, texts["text_id"] == by_text["sid"])
-    return joined.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score")
+            return nothing
+        own = found.filter(pc.is_valid(found.column("weights")))
+        mixture, types = np.array(own.column("weights")[0].as_py()).reshape(64, 3), own.column("all_types")[0].as_py()
+        piece = _Piece(table, buckets)
+        (word, _), (pair, _), (seen, _) = piece.counted(found.filter(pc.is_null(found.column("weights"))))
+        w = mixture[piece.level(seen)]
+        p = w[:, 0] * _ratio(pair, seen) + w[:, 1] * word / max(total, 1) + w[:, 2] / (types + 1)
+        known, base, score = piece.sums((word > 0).astype(np.int64)), piece.sums(np.log10((word + 1) / (total + types + 1))), piece.sums(np.log10(p))
+        return piece.rows({"n_tokens": piece.size, "n_known": known, "base_score": base, "score": score})
+
+    found = cogrouped(answers.unionByName(learned, allowMissingColumns=True), scored, result)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -401,9 +401,9 @@ def brute_scores(texts, test):
     return out
 
 
-@pytest.mark.parametrize("listed", [32_000, 5, 0])
-def test_every_word_is_its_own_context(spark, monkeypatch, listed):
-    monkeypatch.setattr(scoring, "CONTEXTS", listed)
+@pytest.mark.parametrize("tokens", [4_000_000, 900, 50])
+def test_every_word_is_its_own_context(spark, monkeypatch, tokens):
+    monkeypatch.setattr(scoring, "PIECE_TOKENS", tokens)
     monkeypatch.setattr(scoring, "ENTRIES", 700)
     rng = random.Random(9)
     vocabulary = [f"v{i}" for i in range(300)]
