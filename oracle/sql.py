@@ -887,6 +887,7 @@ add(
       || '+00:00","source":"live"}' as value from event_rows""",
 )
 tally("t03_event_keys", ["event_rows"], f"select {_KEY} as key from event_rows")
+add("t04_capped_publishing", ["event_rows"], "select least(count(*), 500) as n, least(count(*), 500) as envelopes from event_rows")
 add("t05_unique_events", ["event_rows"], f"select distinct {_KEY} as key, 'live' as source from event_rows where {_KEY} is not null")
 tally(
     "t05_keyless_events", ["event_rows"],

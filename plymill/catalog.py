@@ -1292,17 +1292,33 @@ def _(spark, folder):
     return tally(tables.game_events(spark, folder).select(events.event_key(c("value")).alias("key")))
 
 
+@query("t04_capped_publishing")
+def _(spark, folder):
+    path, mark = scratch_path(spark, "topic"), scratch_path(spark, "mark")
+    lines = scratch_path(spark, "events")
+    events.capped(tables.game_events(spark, folder).select("value"), 500).write.text(lines)
+    events.publish(events.encode(events.read_event_lines(spark, lines), "live"), path, mark).awaitTermination()
+    return spark.read.schema("key string, value string").json(path).agg(F.count("*").alias("n"), F.count("value").alias("envelopes"))
+
+
 def _envelope_stream(spark, folder) -> DataFrame:
+    """The envelopes in four parts, oldest first, a file at a time."""
     path = scratch_path(spark, "envelopes")
-    _envelopes(spark, folder).select("value").write.text(path)
-    return events.decode(spark.readStream.format("text").load(path))
+    rows = tables.game_events(spark, folder)
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * i / 4 for i in range(1, 4)]
+    place = sum((c("ts") >= F.lit(cut)).cast("int") for cut in cuts)
+    for part in range(4):
+        own = rows.filter(place == part)
+        events.encode(own, "live", c("ts")).select("value").write.mode("append").text(path)
+    return events.decode(spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(path))
 
 
 @query("t05_unique_events")
 def _(spark, folder):
-    out, mark = scratch_path(spark, "bronze"), scratch_path(spark, "mark")
-    events.ingest(_envelope_stream(spark, folder), out, mark).awaitTermination()
-    return spark.read.parquet(out).select("key", "source")
+    out, mark, rejects = (scratch_path(spark, x) for x in ("bronze", "mark", "rejects"))
+    events.ingest(_envelope_stream(spark, folder), out, mark, rejects).awaitTermination()
+    return events.accepted_events(spark, out).select("key", "source")
 
 
 @query("t05_keyless_events")
@@ -1325,10 +1341,9 @@ def _(spark, folder):
 @query("t06_status_counts_streamed")
 def _(spark, folder):
     out, mark = scratch_path(spark, "counts"), scratch_path(spark, "mark")
-    counts = events.status_counts(_envelope_stream(spark, folder), "6 hours")
-    writer = counts.writeStream.outputMode("complete").option("checkpointLocation", mark).trigger(availableNow=True)
-    writer.foreachBatch(lambda batch, _: lake.write_partitions(batch, out)).start().awaitTermination()
-    return spark.read.parquet(out).select(_utc_text(c("window_start")).alias("window_start"), "status", "n_events")
+    events.count_stream(_envelope_stream(spark, folder), out, mark, "6 hours", "7 days").awaitTermination()
+    counts = events.latest_counts(spark, out)
+    return counts.select(_utc_text(c("window_start")).alias("window_start"), "status", "n_events")
 
 
 # ---- surfaces and composites ------------------------------------------------------------------------

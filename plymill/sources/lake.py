@@ -86,39 +86,35 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
     return spark.createDataFrame([], ddl)
 
 
-def read_or_empty(spark: SparkSession, path: str | None, ddl: str) -> DataFrame:
-    """The table at ``path``, or a typed empty frame when there is none.
-
-    Only a missing path counts as none; every other failure is raised.
-    """
-    if not path:
-        return empty(spark, ddl)
+def _scan(spark: SparkSession, path: str, ddl: str) -> DataFrame | None:
+    """The table at ``path`` in the columns of its contract, None when the path does not exist; other failures are raised."""
     try:
-        return spark.read.option("mergeSchema", True).parquet(path)
+        return spark.read.schema(ddl).parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return empty(spark, ddl)
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
         raise
     except Py4JJavaError as error:
         if "FileNotFoundException" in str(error):
-            return empty(spark, ddl)
+            return None
         raise
 
 
+def read_or_empty(spark: SparkSession, path: str | None, ddl: str) -> DataFrame:
+    """The table at ``path`` in the columns of its contract, or a typed empty frame when there is none.
+
+    The contract is the schema: no footer is read for it, and files of any age fit, as columns
+    that a file lacks are null.
+    """
+    found = _scan(spark, path, ddl) if path else None
+    return empty(spark, ddl) if found is None else found
+
+
 def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:
     """Append the default columns the frame does not have yet."""
     return df.withColumns({name: value for name, value in defaults.items() if name not in df.columns})
 
 
-def with_contract(df: DataFrame, ddl: str) -> DataFrame:
-    """Append every column of a contract that the frame lacks, as typed nulls."""
-    missing = {}
-    for part in ddl.split(","):
-        name, kind = part.split(maxsplit=1)
-        missing[name] = F.lit(None).cast(kind.strip())
-    return with_defaults(df, missing)
-
-
 def append_metrics(metrics: DataFrame, path: str) -> None:
     """Append one diagnostics record; the folder of records is the history."""
     metrics.write.mode("append").json(path)
@@ -136,7 +132,7 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-# View name -> folder below the lake root, contract, and defaults of older files.
+# View name -> folder below the lake root, contract, and values for what older files lack.
 LAKE_VIEWS = {
     "silver_games": ("silver/games", schemas.SILVER_GAMES, {}),
     "gold_player_monthly_stats": ("gold/player_monthly_stats", schemas.PLAYER_MONTHS, {}),
@@ -146,7 +142,7 @@ LAKE_VIEWS = {
         schemas.TIME_PRESSURE,
         {"evaluated_positions": "cast(0 as bigint)", "blunder_count": "cast(0 as bigint)"},
     ),
-    "gold_blunder_positions": ("gold/blunder_positions", schemas.POSITIONS, {"year": "cast(null as int)"}),
+    "gold_blunder_positions": ("gold/blunder_positions", schemas.POSITIONS, {}),
 }
 ANALYTICS_VIEWS = {
     "analytics_opening_stats": ("gold_opening_performance", schemas.OPENINGS),
@@ -162,18 +158,20 @@ def present(df: DataFrame, ddl: str) -> DataFrame:
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
-    """Temporary views over the lake tables and their presentation twins.
+    """Temporary views over the lake tables and their presentation twins; starts no job.
 
-    Absent tables become typed empty views.  Returns the names with rows.
+    Absent tables become typed empty views.  Returns the names of the tables that exist.
     """
     found = []
     for name, (folder, ddl, defaults) in LAKE_VIEWS.items():
-        df = read_or_empty(spark, f"{root.rstrip('/')}/{folder}", ddl)
-        if not df.isEmpty():
+        df = _scan(spark, f"{root.rstrip('/')}/{folder}", ddl)
+        if df is not None:
             found.append(name)
-        with_defaults(df, {key: F.expr(rule) for key, rule in defaults.items()}).createOrReplaceTempView(name)
+        df = empty(spark, ddl) if df is None else df
+        filled = {key: F.coalesce(F.col(key), F.expr(rule)) for key, rule in defaults.items()}
+        df.withColumns(filled).createOrReplaceTempView(name)
     for name, (base, ddl) in ANALYTICS_VIEWS.items():
-        present(with_contract(spark.table(base), ddl), ddl).createOrReplaceTempView(name)
+        present(spark.table(base), ddl).createOrReplaceTempView(name)
     return found
 
 
