@@ -333,7 +333,7 @@ tally(
 )
 add(
     "j06_orphan_keys", ["seats"],
-    "select distinct player as key from seats where player not in (select player from seats where year < 1999)",
+    "select distinct player as key from seats where player not in (select 'c' || c_custkey from customer union all select 's' || s_suppkey from supplier)",
 )
 add(
     "j07_board_grid", ["heatmap"],
@@ -358,12 +358,16 @@ add(
 add("a02_bronze_partitions", ["bronze"], "select batch_id, source, count(*) as n from bronze group by 1, 2")
 add(
     "a03_parser_diagnostics", ["raw"],
-    """select *, missing_game_id + missing_players + missing_result + missing_moves + parse_errors as suspicious_rows
-    from (select count(*) as games_seen, count(*) as rows_written,
-      count(*) filter (coalesce(game_id, '') = '') as missing_game_id,
-      count(*) filter (coalesce(white, '') = '' or coalesce(black, '') = '') as missing_players,
-      count(*) filter (coalesce(result, '') = '') as missing_result,
-      count(*) filter (coalesce(moves, '') = '') as missing_moves, 0::bigint as parse_errors from raw)""",
+    """select *, broken_tags + without_tags as parse_errors,
+      missing_game_id + missing_players + missing_result + missing_moves + broken_tags + without_tags as suspicious_rows
+    from (select count(*) as games_seen, count(*) filter (why = '') as rows_written,
+      count(*) filter (why = '' and coalesce(game_id, '') = '') as missing_game_id,
+      count(*) filter (why = '' and (coalesce(white, '') = '' or coalesce(black, '') = '')) as missing_players,
+      count(*) filter (why = '' and coalesce(result, '') = '') as missing_result,
+      count(*) filter (why = '' and coalesce(moves, '') = '') as missing_moves,
+      count(*) filter (why = 'cut') as broken_tags, count(*) filter (why = 'bare') as without_tags
+    from (select *, case when contains(coalesce(game_id, ''), '7_1') and right(game_id, 3) = '7_1' then 'cut'
+      when right(coalesce(game_id, ''), 3) = '3_2' then 'bare' else '' end as why from raw))""",
 )
 add("a04_player_months", ["players"], f"select {PLAYER_ROW} from players")
 add("a05_opening_performance", ["openings"], f"select {OPENING_ROW} from openings")
@@ -495,10 +499,7 @@ add(
 _METRICS = ["silver_count", "white_win", "black_win", "draw", "elo_mean", "elo_stddev"]
 _COMPARED = f"""select *, {_PERIOD} as period, {', '.join(f"{_PREV.format(c=c)} as prev_{c}" for c in _METRICS)}
     from {{source}} window t as (order by year, month)"""
-add(
-    "w02_previous_month", ["months"],
-    _COMPARED.format(source="(select * from months where not (year = 1997 and month = 6))"),
-)
+add("w02_previous_month", ["months"], _COMPARED.format(source="months"))
 tally("w03_evaluation_change", ["positions"], "select ply_number, eval_before_cp, eval_after_cp, cp_loss from positions")
 tally("w04_in_check", ["played"], "select ply_number, move, is_in_check from played")
 tally("w05_material_balance", ["played"], "select ply_number, move, square, material_balance from played")
@@ -536,7 +537,7 @@ add(
 add(
     "q03_gate_checks", ["bronze", "plain"],
     """select position::int as position, name as "check", bad as bad_rows, passed,
-      case when passed then '' else printf('silver retention %.2f%% is below 99.00%%', s / b * 100) end as message
+      case when passed then '' else printf('only %.2f%% of the bronze rows reached silver, less than 99.00%%', s / b * 100) end as message
     from (select *, case when name = 'retention' then b - s else 0 end as bad,
         case when name = 'retention' then s / b >= 0.99 else true end as passed
       from (select unnest(['bronze_empty', 'silver_empty', 'retention', 'null_game_id', 'null_white', 'null_black',
@@ -566,30 +567,23 @@ add(
 )
 add("q04_result_counts", ["plain"], "select result, count(*) as n from plain group by 1")
 add("q04_month_counts", ["plain"], "select year, month, count(*) as n from plain group by 1, 2")
-_THIN = f"""(select year, month, count(*) as silver_count, count(*) filter (result = 'white_win') as white_win,
-      count(*) filter (result = 'black_win') as black_win, count(*) filter (result = 'draw') as draw,
-      {r6('avg((white_elo::double + black_elo) / 2)')} as elo_mean,
-      {r6('stddev_samp((white_elo::double + black_elo) / 2)')} as elo_stddev
-    from plain where month % 3 <> 0 or (white_elo > 1500 and result <> 'draw') group by 1, 2)"""
-
-
 def _moved(name: str) -> str:
     now = f"{name} / greatest(white_win + black_win + draw, 1)"
     was = f"prev_{name} / greatest(prev_white_win + prev_black_win + prev_draw, 1)"
     return f"""select period, 'result_distribution' as "check",
-      printf('{name} rate shifted by %.1f%% (threshold ±5pp)', round(abs({now} - {was}) * 100, 1)) as message,
+      printf('share of {name} moved by %.1f points, more than 5', round(abs({now} - {was}) * 100, 1)) as message,
       {r(now, 4)} as current, {r(was, 4)} as previous from compared where round(abs({now} - {was}), 12) > 0.05"""
 
 
 add(
-    "q05_drift", ["plain"],
-    f"""select * from (with compared as ({_COMPARED.format(source=_THIN)})
-    select period, 'volume' as "check", printf('Silver row count changed by %.1f%% (threshold ±20%%)',
+    "q05_drift", ["months"],
+    f"""select * from (with compared as ({_COMPARED.format(source='months')})
+    select period, 'volume' as "check", printf('volume moved by %.1f%%, more than 20%%',
       round(abs(silver_count - prev_silver_count) / prev_silver_count * 100, 1)) as message,
       silver_count::double as current, prev_silver_count::double as previous from compared
       where round(abs(silver_count - prev_silver_count) / prev_silver_count, 12) > 0.2
     union all {_moved('white_win')} union all {_moved('black_win')} union all {_moved('draw')}
-    union all select period, 'elo_distribution', printf('Elo mean shifted by %.2fσ (threshold 2σ)',
+    union all select period, 'elo_distribution', printf('mean rating moved by %.2f deviations, more than 2',
       round(abs(elo_mean - prev_elo_mean) / prev_elo_stddev, 2)), {r('elo_mean', 1)}, {r('prev_elo_mean', 1)}
       from compared where prev_elo_stddev > 0 and round(abs(elo_mean - prev_elo_mean) / prev_elo_stddev, 12) > 2)""",
 )
@@ -604,15 +598,42 @@ add(
     """select * from (select game_id, try_cast(white_elo as integer) as white_elo, try_cast(black_elo as integer) as black_elo
       from bronze) where white_elo not between 400 and 3500 or black_elo not between 400 and 3500""",
 )
+_MOVED = " + ".join(
+    f"(round(abs(n.{c} / (n.white_win + n.black_win + n.draw) - p.{c} / (p.white_win + p.black_win + p.draw)), 12) > 0.05)::int"
+    for c in ("white_win", "black_win", "draw")
+)
+_ANOMALIES = f"""((round(abs(n.silver_count - p.silver_count) / p.silver_count, 12) > 0.2)::int + {_MOVED}
+  + coalesce((round(abs(n.elo_mean - p.elo_mean) / p.elo_stddev, 12) > 2)::int, 0))::int"""
+
+
+def _month(period: str) -> str:
+    return f"(select * from months where year = {period[:4]} and month = {int(period[5:])})"
+
+
+_CARDS = f"""
+  select 'parser' as kind, case when g > 0 or p > 0 or r > 0 then 'warn' else 'pass' end as status, seen as primary_count,
+    null::double as retention, null::double as clock_coverage, null::bigint as rows_removed, null::bigint as duplicate_game_ids, 0 as anomaly_count
+  from (select count(*) as seen, count(*) filter (coalesce(game_id, '') = '') as g, count(*) filter (coalesce(result, '') = '') as r,
+    count(*) filter (coalesce(white, '') = '' or coalesce(black, '') = '') as p from raw)
+  union all select 'bronze', case when g > 0 or d > 0 then 'warn' else 'pass' end, u, null, null, n - u, d, 0
+  from (select count(*) as n, count(*) filter (game_id is null) as g, count(distinct game_id) as u,
+    (select count(*) from (select game_id from raw where game_id is not null group by 1 having count(*) > 1)) as d from raw)
+  union all select 'silver', 'pass', count(*), null, null, null, null, 0 from plain
+  union all select 'quality', case when {_ANOMALIES} > 0 or n.silver_count / b < 0.95 then 'warn' else 'pass' end, n.silver_count,
+    {r6('n.silver_count / b')}, {r6('c / n.silver_count')}, null, 0, {_ANOMALIES}
+  from {_month('1996-11')} n, {_month('1996-10')} p, (select count(*) as b from bronze where batch_id = '1996-11'),
+    (select count(*) filter (has_clock_data) as c from plain where year = 1996 and month = 11)"""
+add("q08_diagnostics_cards", ["raw", "bronze", "plain", "months"], _CARDS)
 add(
-    "q08_diagnostics_cards", ["raw"],
-    f"""select batch_id || '/parser/part-00000.json' as path, 'parser' as kind,
-      case when missing_game_id > 0 then 'warn' else 'pass' end as status, games_seen as primary_count from ({_BATCHES})""",
+    "q08_cards_summary", ["raw", "bronze", "plain", "months"],
+    f"""select count(*) filter (status = 'pass') as pass_count, count(*) filter (status = 'warn') as warn_count,
+      sum(anomaly_count)::bigint as anomaly_count from ({_CARDS})""",
 )
 add(
-    "q08_cards_summary", ["raw"],
-    f"""select count(*) filter (missing_game_id = 0) as pass_count, count(*) filter (missing_game_id > 0) as warn_count,
-      0::bigint as anomaly_count from ({_BATCHES})""",
+    "q01_contract", ["plain"],
+    """select unnest(['game_id', 'white', 'black', 'result', 'white_elo', 'black_elo', 'game_date', 'year', 'month', 'game_length']) as "column",
+      true as named, unnest(['string', 'string', 'string', 'string', 'int', 'int', 'date', 'int', 'int', 'int']) as kind,
+      (select count(*) from plain) as rows""",
 )
 add("q09_class_validation", ["outcomes"], "select result, count(*) as n from outcomes group by 1")
 
@@ -910,11 +931,33 @@ tally(
       case when moves is null then null when length(moves) // 8 <= 10 then 'opening' when length(moves) // 8 <= 30 then 'middlegame'
         else 'endgame' end as phase from ({_SAN})""",
 )
-tally("u03_partition_scorer", ["plain"], "select game_length as ply, game_length * 10 as eval_cp from plain")
+tally(
+    "u03_partition_scorer", ["plies"],
+    "select ply_number as ply, (10 * strpos('abcdefghKQRBN', move[1]) * case when ply_number % 2 = 1 then 1 else -1 end)::int as eval_cp from plies",
+)
 add(
     "u04_adhoc_select", ["plain"],
     "select result, year, count(*) as n from plain group by 1, 2 order by n desc, result, year",
 )
+add(
+    "c03_gate_and_publish", ["plain", "months"],
+    f"""select '1996-10' as period, 'pass' as status, n.silver_count, {_ANOMALIES} as anomalies, '' as failed, n.silver_count as stored_rows
+      from {_month('1996-10')} n, {_month('1996-09')} p
+    union all select '1996-11', 'pass', n.silver_count, {_ANOMALIES}, '', n.silver_count from {_month('1996-11')} n, {_month('1996-10')} p
+    union all select '1996-12', 'fail', n.silver_count, {_ANOMALIES}, 'null_result', 0
+      from (select count(*) as silver_count, count(*) filter (result = 'white_win' and white < 'c5') as white_win,
+        count(*) filter (result = 'black_win' and white < 'c5') as black_win, count(*) filter (result = 'draw' and white < 'c5') as draw,
+        avg((white_elo::double + black_elo) / 2) as elo_mean from plain where year = 1996 and month = 12) n, {_month('1996-11')} p""",
+)
+add("c04_players_job", ["players"], f"select {PLAYER_ROW} from players")
+add("c05_openings_job", ["openings"], f"select {OPENING_ROW} from openings")
+add("c06_time_pressure_job", ["pressure"], f"select {PRESSURE_ROW} from pressure")
+add(
+    "u05_c10_cluster_job", ["style"],
+    f"select count(*) as players, count(*) as distinct_players, 4::bigint as clusters from {_STYLED}",
+)
+add("u05_corpus_job", ["openings", "players"], f"select * from ({opening_sentences(8)}) union all select * from ({PLAYER_SENTENCES})")
+ORACLE["u05_coverage_job"] = ORACLE["s14_month_coverage"]
 tally(
     "c01_bronze_job", ["raw", "bronze"],
     "select source, 'kept' as state from bronze union all select source, 'rejected' from raw where game_id is null",

@@ -7,14 +7,14 @@ results stay small however large the tables are.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from contextlib import contextmanager
 
-import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from plymill import schemas
+from plymill import cli, schemas
 from plymill.functions import moves as M
 from plymill.functions import scalars as S
 from plymill.functions import sqlfuncs, text
@@ -22,7 +22,7 @@ from plymill.ml import baselines, cluster, frames, metrics, prep, train
 from plymill.operators import board, keyed
 from plymill.operators.roles import player_rows
 from plymill.plans import bronze as B
-from plymill.plans import corpus, models, openings, players, positions, quality, queries, silver, time_pressure
+from plymill.plans import corpus, gate, models, openings, players, positions, quality, queries, silver, time_pressure
 from plymill.session import scratch_path, shared_folder, use_checkpoints
 from plymill.sources import lake, tables
 from plymill.streaming import events
@@ -545,9 +545,10 @@ def _(spark, folder):
 
 @query("j06_orphan_keys")
 def _(spark, folder):
-    months = player_months(spark, folder).filter(c("player").isNotNull())
-    seen = models.staged_players(staged(spark, folder).filter(c("year") < 1999))
-    return models.orphans(months, "player", seen, "player")
+    """Players with monthly figures who are no registered customer or supplier: the bots."""
+    customers = tables.table(spark, folder, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("player"))
+    suppliers = tables.table(spark, folder, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("player"))
+    return models.orphans(player_months(spark, folder), "player", customers.union(suppliers), "player")
 
 
 @query("j07_board_grid")
@@ -575,7 +576,18 @@ def _(spark, folder):
 
 @query("a03_parser_diagnostics")
 def _(spark, folder):
-    return B.parser_metrics(raw(spark, folder))
+    """Counters of a parser run over game texts of which some have a tag without its end, or no tag at all."""
+    block = c("block")
+    cut = F.regexp_replace(block, r'(?m)^(\[White "c[^"]*)"\]$', "$1")
+    bare = F.regexp_replace(block, r"(?m)^\[.*\]$", "")
+    broken = F.when(F.contains(block, F.lit("7_1/")), cut).when(F.contains(block, F.lit("3_2/")), bare).otherwise(block)
+    blocks = tables.game_blocks(spark, folder).select(broken.alias("block"))
+    report, rejects = scratch_path(spark, "parser"), scratch_path(spark, "rejects")
+    B.parse(spark, blocks, scratch_path(spark, "landing"), batch_id="2024-01", metrics_output=report, quarantine_output=rejects)
+    reasons = spark.read.parquet(rejects).agg(
+        F.count_if(c("reject_reason") == "broken_tag").alias("broken_tags"), F.count_if(c("reject_reason") == "no_tags").alias("without_tags")
+    )
+    return spark.read.json(report).crossJoin(F.broadcast(reasons))  # one row each
 
 
 @query("a04_player_months")
@@ -730,9 +742,7 @@ def _(spark, folder):
 
 @query("w02_previous_month")
 def _(spark, folder):
-    # drop one month so that a gap shows
-    rows = _month_metrics(spark, folder).filter(~((c("year") == 1997) & (c("month") == 6)))
-    return rounded(quality.with_previous_month(rows))
+    return rounded(quality.with_previous_month(_month_metrics(spark, folder)))
 
 
 @query("w03_evaluation_change")
@@ -845,10 +855,7 @@ def _(spark, folder):
 
 @query("q05_drift")
 def _(spark, folder):
-    # judge a skewed history: every third month keeps only part of its games
-    rows = plain_games(spark, folder)
-    thin = rows.filter((c("month") % 3 != 0) | ((c("white_elo") > 1500) & (c("result") != "draw")))
-    return rounded(quality.drift(quality.with_previous_month(quality.month_metrics(thin))))
+    return rounded(quality.drift(quality.with_previous_month(_month_metrics(spark, folder))))
 
 
 @query("q06_expectations")
@@ -866,15 +873,44 @@ def _(spark, folder):
     return quality.expect_rating_range(rows)
 
 
+def _four_records(spark, folder) -> DataFrame:
+    """One record of each kind, as the parser, the bronze, the silver and the gate job write them."""
+    top = scratch_path(spark, "records")
+    landing, bronze_path, silver_path = (scratch_path(spark, x) for x in ("landing", "bronze", "silver"))
+    lake.append_metrics(B.parser_metrics(raw(spark, folder)), f"{top}/parser")
+    lake.write_landing(raw(spark, folder), landing)
+    B.run(spark, landing, bronze_path, metrics_output=f"{top}/bronze")
+    silver.run(spark, bronze_path, silver_path, metrics_output=f"{top}/silver")
+    month = lake.read_month(spark, silver_path, "1996-11")
+    before = lake.read_month(spark, silver_path, "1996-10")
+    batch = spark.read.parquet(bronze_path).filter(c("batch_id") == "1996-11")
+    lake.append_metrics(gate.record(batch, month, before, month="1996-11"), f"{top}/quality")
+    return lake.read_metrics(spark, top)
+
+
 @query("q08_diagnostics_cards")
 def _(spark, folder):
-    cards = quality.diagnostics_cards(_diagnostics(spark, folder).withColumn("path", F.concat(c("batch_id"), F.lit("/parser/part-00000.json"))))
-    return cards.select("path", "kind", "status", "primary_count")
+    cards = quality.diagnostics_cards(_four_records(spark, folder)).drop("path")
+    return rounded(cards.select("kind", "status", "primary_count", "retention", "clock_coverage", "rows_removed", "duplicate_game_ids", "anomaly_count"))
 
 
 @query("q08_cards_summary")
 def _(spark, folder):
-    return quality.cards_summary(quality.diagnostics_cards(_diagnostics(spark, folder)))
+    return quality.cards_summary(quality.diagnostics_cards(_four_records(spark, folder)))
+
+
+@query("q01_contract")
+def _(spark, folder):
+    """What the contract check says of a table without a column that the gate reads."""
+    rows = plain_games(spark, folder)
+    said = []
+    for name in quality.GATE_COLUMNS:
+        try:
+            quality.check_contract(rows.drop(name), quality.GATE_COLUMNS, "silver")
+        except quality.QualityError as error:
+            said.append((name, name in str(error), rows.schema[name].dataType.simpleString()))
+    found = spark.createDataFrame(said, "column string, named boolean, kind string")
+    return found.withColumn("rows", rows.agg(F.count("*")).scalar())
 
 
 @query("q09_class_validation")
@@ -1368,12 +1404,16 @@ def _(spark, folder):
 
 @query("u03_partition_scorer")
 def _(spark, folder):
-    def scorer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lengths = batch["moves_san"].map(len)
-            yield pd.DataFrame({"game_id": batch["game_id"], "ply": lengths, "eval_cp": lengths * 10})
+    """A scorer with a table of letter values that it opens once per partition; one score per half-move."""
+
+    @contextmanager
+    def letters():
+        yield {letter: i + 1 for i, letter in enumerate("abcdefghKQRBN")}
 
-    return tally(positions.score_with(plain_games(spark, folder), scorer).select("ply", "eval_cp"))
+    def score(values, game_id, moves):
+        return [(i + 1, 10 * values.get(move[0], 0) * (-1) ** i) for i, move in enumerate(moves)]
+
+    return tally(positions.score_with(plain_games(spark, folder), letters, score).select("ply", "eval_cp"))
 
 
 @query("u04_adhoc_select")
@@ -1408,6 +1448,84 @@ def _(spark, folder):
     return rows.withColumns({"clock_seconds": F.array_join(c("clock_seconds").cast("array<string>"), " "), "moves_san": F.array_join("moves_san", " ")})
 
 
+@query("c03_gate_and_publish")
+def _(spark, folder):
+    """Three staged months: one like the month before, one rated on another scale, one with broken results."""
+    bronze_path, silver_path, staged, records = (scratch_path(spark, x) for x in ("bronze", "silver", "staged", "records"))
+    lake.write_partitions(bronze(spark, folder).select("game_id", "batch_id"), bronze_path, "batch_id")
+    lake.write_partitions(plain_games(spark, folder), staged, "year", "month")
+    lake.write_partitions(lake.read_month(spark, staged, "1996-09"), silver_path, "year", "month")
+    months = ["1996-10", "1996-11", "1996-12"]
+    for month in months:
+        rows = lake.read_month(spark, staged, month)
+        if month == "1996-12":
+            rows = rows.withColumn("result", F.when(c("white") < "c5", c("result")))
+        gate.publish_month(spark, bronze_path, rows, silver_path, month=month, metrics_output=records, min_retention=0.5)
+    stored = spark.read.parquet(silver_path).groupBy("year", "month").agg(F.count("*").alias("stored_rows"))
+    stored = stored.select(S.period(c("year"), c("month")).alias("period"), "stored_rows")
+    found = lake.read_metrics(spark, records).select(
+        "period", "status", "silver_count", F.size("anomalies").alias("anomalies"),
+        F.array_join(F.transform(F.filter("checks", lambda x: ~x["passed"]), lambda x: x["check"]), ",").alias("failed"),
+    )
+    return found.join(stored, "period", "left").withColumn("stored_rows", F.coalesce("stored_rows", F.lit(0).cast("long")))
+
+
+def _job(spark, folder, stage, output, *keys, **options):
+    """Run a job of the command line twice on silver, as a rerun must not change its table."""
+    source, out = scratch_path(spark, "silver"), scratch_path(spark, stage)
+    lake.write_partitions(games(spark, folder), source, "year", "month")
+    for _ in range(2):
+        cli.run(spark, [stage, "--input", source, "--output", out, *[x for k, v in options.items() for x in (f"--{k}", v)]])
+    rows = spark.read.parquet(out)
+    return rows.select(*schemas.column_names(output))
+
+
+@query("c04_players_job")
+def _(spark, folder):
+    return rounded(_job(spark, folder, "players", schemas.PLAYER_MONTHS))
+
+
+@query("c05_openings_job")
+def _(spark, folder):
+    return rounded(_job(spark, folder, "openings", schemas.OPENINGS))
+
+
+@query("c06_time_pressure_job")
+def _(spark, folder):
+    source = scratch_path(spark, "positions")
+    evaluated(spark, folder).write.parquet(source)
+    return rounded(_job(spark, folder, "time-pressure", schemas.TIME_PRESSURE, positions=source))
+
+
+@query("u05_c10_cluster_job")
+def _(spark, folder):
+    """The clustering job, from the style table to written assignments."""
+    source, out = scratch_path(spark, "silver"), scratch_path(spark, "clusters")
+    lake.write_partitions(plain_games(spark, folder), source, "year", "month")
+    cli.run(spark, ["cluster", "--input", source, "--output", out, "--clusters", "4"])
+    found = spark.read.parquet(f"{out}/assignments")
+    return found.agg(F.count("*").alias("players"), F.count_distinct("player").alias("distinct_players"), F.count_distinct("cluster").alias("clusters"))
+
+
+@query("u05_corpus_job")
+def _(spark, folder):
+    source, out = scratch_path(spark, "silver"), scratch_path(spark, "corpus")
+    openings_path, players_path = scratch_path(spark, "openings"), scratch_path(spark, "players")
+    lake.write_partitions(games(spark, folder), source, "year", "month")
+    cli.run(spark, ["openings", "--input", source, "--output", openings_path])
+    cli.run(spark, ["players", "--input", source, "--output", players_path])
+    cli.run(spark, ["corpus", "--openings", openings_path, "--players", players_path, "--output", out, "--min-opening-games", "8"])
+    return spark.read.parquet(out)
+
+
+@query("u05_coverage_job")
+def _(spark, folder):
+    source, out = scratch_path(spark, "silver"), scratch_path(spark, "coverage")
+    lake.write_partitions(plain_games(spark, folder), source, "year", "month")
+    cli.run(spark, ["coverage", "--input", source, "--output", out, "--start", "1994-11", "--end", "2002-02"])
+    return spark.read.json(out)
+
+
 @query("c07_evaluated_positions")
 def _(spark, folder):
     rows = evaluated(spark, folder)

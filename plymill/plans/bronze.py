@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from plymill.functions.text import parse_blocks
 from plymill.operators.keyed import dedupe
 from plymill.sources import lake
 
@@ -22,21 +23,62 @@ def missing(column: str) -> F.Column:
     return F.coalesce(F.col(column), F.lit("")) == ""
 
 
-def parser_metrics(raw: DataFrame, parse_errors: int = 0) -> DataFrame:
-    """Counters of one parser run; a row with several gaps is counted once per gap."""
-    counts = raw.agg(
+GAPS = ["missing_game_id", "missing_players", "missing_result", "missing_moves", "parse_errors"]
+
+
+def parser_counters(judged: bool) -> list[F.Column]:
+    """The counters of a parser run as aggregates; rejected texts count as parse errors and nowhere else."""
+    fine = F.col("reject_reason").isNull() if judged else F.lit(True)
+    return [
         F.count("*").alias("games_seen"),
-        F.count("*").alias("rows_written"),
-        F.count_if(missing("game_id")).alias("missing_game_id"),
-        F.count_if(missing("white") | missing("black")).alias("missing_players"),
-        F.count_if(missing("result")).alias("missing_result"),
-        F.count_if(missing("moves")).alias("missing_moves"),
-        F.lit(parse_errors).cast("bigint").alias("parse_errors"),
-    )
-    gaps = ["missing_game_id", "missing_players", "missing_result", "missing_moves", "parse_errors"]
-    total = sum((F.col(name) for name in gaps[1:]), F.col(gaps[0]))
-    seen = (F.col("games_seen") + F.col("parse_errors")).alias("games_seen")
-    return counts.select(seen, *[c for c in counts.columns if c != "games_seen"], total.alias("suspicious_rows"))
+        F.count_if(fine).alias("rows_written"),
+        F.count_if(fine & missing("game_id")).alias("missing_game_id"),
+        F.count_if(fine & (missing("white") | missing("black"))).alias("missing_players"),
+        F.count_if(fine & missing("result")).alias("missing_result"),
+        F.count_if(fine & missing("moves")).alias("missing_moves"),
+        F.count_if(~fine).alias("parse_errors"),
+    ]
+
+
+def parser_metrics(raw: DataFrame) -> DataFrame:
+    """Counters of one parser run; a row with several gaps is counted once per gap.
+
+    ``raw`` may have a ``reject_reason``, as parsed texts that were judged do.
+    """
+    counts = raw.agg(*parser_counters("reject_reason" in raw.columns))
+    total = sum((F.col(name) for name in GAPS[1:]), F.col(GAPS[0]))
+    return counts.withColumn("suspicious_rows", total)
+
+
+def parse(
+    spark: SparkSession,
+    blocks: DataFrame,
+    output_path: str,
+    *,
+    batch_id: str,
+    source: str = "batch",
+    rows_per_file: int = 100_000,
+    metrics_output: str | None = None,
+    quarantine_output: str | None = None,
+) -> dict[str, int]:
+    """Write the landing files of game texts; malformed texts go to the rejects with their reason.
+
+    The counters come from the write itself.  The rejects are a second plan, which runs
+    only when the first pass saw some.
+    """
+    judged = parse_blocks(blocks, batch_id=batch_id, source=source, judged=True)
+    seen = Observation()
+    counted = judged.observe(seen, *parser_counters(True)).filter(F.col("reject_reason").isNull())
+    lake.write_landing(counted.drop("block", "reject_reason"), output_path, rows_per_file=rows_per_file)
+    counts = dict(seen.get)
+    counts["suspicious_rows"] = sum(counts[name] for name in GAPS)
+    if quarantine_output and counts["parse_errors"]:
+        rejects = judged.filter(F.col("reject_reason").isNotNull())
+        lake.write_partitions(rejects.select("block", "reject_reason", "batch_id", "source"), quarantine_output)
+    if metrics_output:
+        row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+        lake.append_metrics(row, metrics_output)
+    return counts
 
 
 def id_metrics(raw: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import AbstractContextManager, ExitStack
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -118,10 +120,26 @@ def evaluated_positions(
     )
 
 
-def score_with(games: DataFrame, scorer: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]) -> DataFrame:
-    """Evaluations from a user's own scorer, started once per partition.
+def score_with(
+    games: DataFrame,
+    resource: Callable[[], AbstractContextManager[Any]],
+    score: Callable[[Any, str, list[str]], Iterable[tuple[int, int]]],
+) -> DataFrame:
+    """Evaluations (game_id, ply, eval_cp) from a user's own scorer.
 
-    ``scorer`` gets batches with ``game_id`` and ``moves_san`` and yields rows
-    of the evaluations contract.
+    ``resource`` opens what scoring needs, such as an engine process.  It is entered once for each
+    partition that has games, and left when the partition ends, fails, or is no longer read.
+    ``score`` gets it with the id and the moves of a game, and gives any number of (ply, score).
     """
-    return games.select("game_id", moves_column(games)).mapInPandas(scorer, schemas.EVALUATIONS)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        with ExitStack() as stack:
+            opened: list[Any] = []
+            for batch in batches:
+                if not opened and len(batch):
+                    opened.append(stack.enter_context(resource()))
+                ids, moves = batch.iloc[:, 0], batch.iloc[:, 1]
+                rows = [(i, *s) for i, m in zip(ids, moves, strict=True) for s in score(opened[0], i, [] if m is None else list(m))]
+                yield pd.DataFrame(rows, columns=["game_id", "ply", "eval_cp"])
+
+    return games.select("game_id", moves_column(games)).mapInPandas(run, schemas.EVALUATIONS)

@@ -143,9 +143,10 @@ def run(
     *,
     reference_path: str | None = None,
     quarantine_output: str | None = None,
+    metrics_output: str | None = None,
     **filters: bool,
 ) -> dict[str, int]:
-    """Write silver and, when asked for, the rejects; returns both counts.
+    """Write silver and, when asked for, the rejects and a record of both counts; returns the counts.
 
     The counts come from the write itself.  The rejects are a second, cheap
     plan: their filter sits below the text parsing, so only rejected rows are
@@ -164,4 +165,7 @@ def run(
     counts = dict(seen.get)
     if quarantine_output and counts["quarantine_count"]:
         lake.write_partitions(quarantined(bronze, reference, **filters), quarantine_output)
+    if metrics_output:
+        row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"{name} bigint" for name in counts))
+        lake.append_metrics(row, metrics_output)
     return counts

@@ -50,16 +50,28 @@ _DATE = (
 _CODE = "substring('ABCDE', cast({key} % 5 as int) + 1, 1) || lpad(cast({key} % 4 as string), 2, '0')"
 GAME_ID = "'g' || cast(l_orderkey as string) || '_' || cast(l_linenumber as string)"
 
+_UNDATED = "(year(l_shipdate) = 1997 and month(l_shipdate) = 6)"
+_RESCALED = "(year(l_shipdate) = 1996 and month(l_shipdate) = 11)"
+
 RAW_RULES = {
     "game_id": f"case when l_partkey % 97 = 0 then null else {GAME_ID} end",
     "white": "'c' || cast(o_custkey as string) || case when o_custkey % 41 = 0 then 'Bot' else '' end",
     "black": "'s' || cast(l_suppkey as string)",
+    # every sixth month has more wins than the months around it
     "result": (
-        "case when l_partkey % 89 = 0 then '*' when l_returnflag = 'R' then '1-0'"
+        "case when l_partkey % 89 = 0 then '*'"
+        " when month(l_shipdate) % 6 = 0 and l_partkey % 4 = 0 then '1-0' when l_returnflag = 'R' then '1-0'"
         " when l_returnflag = 'A' then '0-1' else '1/2-1/2' end"
     ),
-    "white_elo": "case when o_custkey % 29 = 0 then '?' else cast(300 + (o_custkey * 211) % 3400 as string) end",
-    "black_elo": "cast(900 + (l_suppkey * 37) % 1800 as string)",
+    # one month was rated on another scale
+    "white_elo": (
+        f"case when o_custkey % 29 = 0 then '?' when {_RESCALED} then cast(3300 + o_custkey % 200 as string)"
+        " else cast(300 + (o_custkey * 211) % 3400 as string) end"
+    ),
+    "black_elo": (
+        f"case when {_RESCALED} then cast(3300 + l_suppkey % 200 as string)"
+        " else cast(900 + (l_suppkey * 37) % 1800 as string) end"
+    ),
     "eco": f"case when l_partkey % 31 = 0 then null else {_CODE.format(key='l_partkey')} end",
     "opening": (
         "'Line ' || cast(l_partkey % 43 as string)"
@@ -73,7 +85,8 @@ RAW_RULES = {
         "case l_linenumber % 5 when 0 then 'Normal' when 1 then 'Time forfeit'"
         " when 2 then 'Abandoned' when 3 then 'Rules infraction' else ' Other cause ' end"
     ),
-    "utc_date": f"case when l_partkey % 83 = 0 then '????.??.??' else {_DATE} end",
+    # one month has no usable dates, which leaves a gap between its neighbours
+    "utc_date": f"case when l_partkey % 83 = 0 or {_UNDATED} then '????.??.??' else {_DATE} end",
     "utc_time": "lpad(cast(l_orderkey % 24 as string), 2, '0') || ':00:00'",
     "moves": _texts_case(),
     "clock_annotations": (

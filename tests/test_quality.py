@@ -39,12 +39,12 @@ def test_gate_passes_and_counts(spark):
 @pytest.mark.parametrize(
     "values, message",
     [
-        ({"result": "odd"}, "silver contains 1 invalid normalized results"),
-        ({"white": None}, "silver column white contains 1 nulls"),
-        ({"white_elo": 399}, "silver contains 1 out-of-range Elo values"),
-        ({"month": 2}, "silver contains 1 rows with year/month not matching game_date"),
-        ({"game_length": 5}, "silver contains 1 rows with game_length different from its moves"),
-        ({"game_id": "g1"}, "silver contains 1 duplicated game_id values"),
+        ({"result": "odd"}, "1 rows with an unknown result"),
+        ({"white": None}, "1 rows without white"),
+        ({"white_elo": 399}, "1 rows with a rating outside the accepted range"),
+        ({"month": 2}, "1 rows in the partition of another month"),
+        ({"game_length": 5}, "1 rows whose length is not their number of moves"),
+        ({"game_id": "g1"}, "1 ids on more than one row"),
     ],
 )
 def test_gate_failures(spark, values, message):
@@ -52,9 +52,9 @@ def test_gate_failures(spark, values, message):
 
 
 def test_gate_volume(spark):
-    assert failure(spark, bronze(spark, "g1", "g2"), silver(spark)) == "silver retention 50.00% is below 95.00%"
+    assert failure(spark, bronze(spark, "g1", "g2"), silver(spark)) == "only 50.00% of the bronze rows reached silver, less than 95.00%"
     none = silver(spark).limit(0)
-    assert failure(spark, bronze(spark), none) == "bronze contains 0 rows"
+    assert failure(spark, bronze(spark), none) == "no rows in bronze"
     quality.enforce(quality.gate_checks(quality.gate_metrics(bronze(spark), none), allow_empty=True))
     with pytest.raises(quality.QualityError, match="cannot be checked without: game_date"):
         quality.gate_metrics(bronze(spark, "g1"), silver(spark).drop("game_date"))
