@@ -151,3 +151,28 @@ def test_sql_functions(spark):
     with pytest.raises(ValueError):
         sqlfuncs.run_select(spark, "with t as (select 1 as a) insert into written_to select a from t")
     assert sqlfuncs.run_select(spark, "with a as (select 1 as x) select * from a").count() == 1
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        "select reflect('java.lang.System', 'setProperty', 'zz', '1')",
+        "select `reflect` ('java.lang.System', 'getProperty', 'zz')",
+        "with a as (select Java_Method('java.util.UUID', 'randomUUID') as x) select * from a",
+        "select /* ' */ try_reflect('java.lang.System', 'exit', 1) -- '",
+        "select r'\\', reflect('java.lang.System', 'exit') as \"'\"",
+        "select transform(a) using 'cat' as (b) from (select 1 as a)",
+        "select * from csv.`/etc/passwd`",
+        "select * from text . `file:///etc/hostname`",
+        "explain select 1",
+    ],
+)
+def test_queries_cannot_run_code_or_read_files(spark, query):
+    with pytest.raises(ValueError):
+        sqlfuncs.run_select(spark, query)
+
+
+def test_harmless_queries_pass(spark):
+    rows = sqlfuncs.run_select(spark, "select 'reflect(1) using \\'x\\' csv./a' as a, transform(array(1, 2), x -> x + 1) as b, 1.5 as json -- reflect(")
+    assert rows.first()["b"] == [2, 3]
+    assert sqlfuncs.run_select(spark, "select * from (values (1), (2)) a(x) join (values (1)) b(x) using (x)").count() == 1

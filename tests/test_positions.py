@@ -1,4 +1,7 @@
+import uuid
+
 import pytest
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from plymill.plans import positions
@@ -108,3 +111,53 @@ def test_whole_games_and_scored_counts(spark):
     assert rows.count() == 100 and rows.where("cp_loss is null").count() == 2
     assert rows.where("ply_number = 100").first()["eval_after_cp"] == -1000
     assert sum(r.evaluated_positions for r in time_pressure.position_quality(rows).collect()) == 98
+
+
+def scored_games(spark):
+    rows = [(f"g{i}", ["e4"] * (i % 4)) for i in range(40)] + [("none", None)]
+    return spark.createDataFrame(rows, "game_id string, moves_san array<string>").repartition(5)
+
+
+def engine(folder):
+    """An opener whose resource leaves a file for each opening and closing; local, so that it travels to the workers."""
+
+    class Engine:
+        def __enter__(self):
+            (folder / f"opened-{uuid.uuid4()}").touch()
+            return self
+
+        def __exit__(self, *_):
+            (folder / f"closed-{uuid.uuid4()}").touch()
+
+    return Engine
+
+
+def scorer():
+    def score(opened, game_id, moves):
+        if game_id == "bad":
+            raise RuntimeError("engine broke")
+        return [(ply, 100 * ply) for ply in range(len(moves) + 1)]
+
+    return score
+
+
+def used(folder):
+    return tuple(len(list(folder.glob(f"{kind}-*"))) for kind in ("opened", "closed"))
+
+
+def test_scorer_opens_its_resource_once_per_partition(spark, tmp_path):
+    found = positions.score_with(scored_games(spark), engine(tmp_path), scorer())
+    rows = found.collect()
+    assert len(rows) == sum(i % 4 + 1 for i in range(40)) + 1
+    assert {(r.ply, r.eval_cp) for r in rows if r.game_id == "g7"} == {(0, 0), (1, 100), (2, 200), (3, 300)}
+    assert used(tmp_path) == (5, 5)
+
+
+def test_scorer_closes_its_resource_on_failure(spark, tmp_path):
+    broken = scored_games(spark).limit(3).unionByName(spark.createDataFrame([("bad", ["e4"])], "game_id string, moves_san array<string>"))
+    with pytest.raises(PythonException, match="engine broke"):
+        positions.score_with(broken.coalesce(1), engine(tmp_path), scorer()).collect()
+    opened, closed = used(tmp_path)
+    assert opened == closed > 0
+    assert positions.score_with(broken.limit(0), engine(tmp_path), scorer()).count() == 0
+    assert used(tmp_path) == (opened, closed)

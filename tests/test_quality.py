@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plymill import cli
-from plymill.plans import quality, queries
+from plymill.plans import gate, quality, queries
 
 SILVER = "game_id string, white string, black string, result string, white_elo int, black_elo int, game_date date, year int, month int, moves_uci array<string>, game_length int"
 GOOD = ("g1", "a", "b", "white_win", 1500, 1400, dt.date(2024, 1, 1), 2024, 1, ["e2e4"], 1)
@@ -69,6 +69,35 @@ def test_gate_job_selects_a_month(spark, tmp_path):
         cli.run_gate(spark, str(tmp_path / "b"), str(tmp_path / "s"), month="2024-02")
 
 
+def test_only_audited_months_are_published(spark, tmp_path):
+    paths = {name: str(tmp_path / name) for name in ("bronze", "silver", "records")}
+    february = {"game_date": dt.date(2024, 2, 3), "month": 2}
+    ids = [f"h{i}" for i in range(9)]
+    spark.createDataFrame([("g1", "2024-01")] + [(i, "2024-02") for i in ids], "game_id string, batch_id string").write.partitionBy("batch_id").parquet(paths["bronze"])
+    silver(spark).write.partitionBy("year", "month").parquet(paths["silver"])
+    staged = silver(spark, *[changed(game_id=i, **february) for i in ids]).filter("month = 2")
+    options = {"month": "2024-02", "metrics_output": paths["records"]}
+    broken = staged.withColumn("result", F.when(F.col("game_id") != "h3", F.col("result")))
+    assert gate.publish_month(spark, paths["bronze"], broken, paths["silver"], **options) == "1 rows without result"
+    assert spark.read.parquet(paths["silver"]).count() == 1
+    for _ in range(2):  # a rerun replaces the month
+        assert gate.publish_month(spark, paths["bronze"], staged, paths["silver"], **options) is None
+        assert spark.read.parquet(paths["silver"]).count() == 10
+    records = spark.read.json(paths["records"]).collect()
+    assert sorted(r["status"] for r in records) == ["fail", "pass", "pass"]
+    assert all({a["check"] for a in r["anomalies"]} == {"volume"} and r["result_counts"] and r["partition_counts"][0]["rows"] == 9 for r in records)
+    assert gate.month_before("2024-01") == "2023-12" and gate.month_before("2024-12") == "2024-11"
+
+
+def test_gate_reads_two_months_only(spark, tmp_path):
+    rows = silver(spark, *[changed(game_id=f"m{m}", game_date=dt.date(2024, m, 1), month=m) for m in range(2, 7)])
+    rows.write.partitionBy("year", "month").parquet(str(tmp_path / "s"))
+    previous = spark.read.parquet(str(tmp_path / "s")).filter(gate.lake.in_month(gate.month_before("2024-04")))
+    _, month = quality.scope(bronze(spark), spark.read.parquet(str(tmp_path / "s")), month="2024-04")
+    files = [r[0] for r in previous.unionByName(month).select(F.input_file_name()).distinct().collect()]
+    assert sorted(f.split("month=")[1][0] for f in files) == ["3", "4"]
+
+
 def months(spark, *rows):
     kinds = "year int, month int, silver_count bigint, white_win bigint, black_win bigint, draw bigint, elo_mean double, elo_stddev double"
     return spark.createDataFrame(list(rows), kinds)
