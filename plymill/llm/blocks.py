@@ -2,8 +2,8 @@
 
 A row ``(bucket, <header arrays>, owner, <entry arrays>)`` holds all entries that one
 slice of documents has for one bucket of the key space.  Spark shuffles and groups
-the rows; a group is a bucket, whose expected number of entries is fixed, so its
-memory does not grow with the input.
+the rows; a group is a bucket, whose expected number of entries is fixed, as the number of
+buckets grows with the input.
 """
 
 from __future__ import annotations
@@ -12,15 +12,15 @@ import numpy as np
 import pyarrow as pa
 
 BUCKET_ENTRIES = 2_000_000
-MAX_BUCKETS = 1 << 15
 
 
 def bucket_count(entries: int, each: int = BUCKET_ENTRIES) -> int:
-    return int(min(max(1, -(-entries // each)), MAX_BUCKETS))
+    return int(max(1, -(-entries // each)))
 
 
 def buckets_of(hashes: np.ndarray, n: int) -> np.ndarray:
-    return ((hashes >> np.uint64(48)) % np.uint64(n)).astype(np.int64)
+    """Buckets by the upper bits of the hashes: 16, or 32 where there are too many buckets for 16."""
+    return ((hashes >> np.uint64(48 if n <= 1 << 15 else 32)) % np.uint64(n)).astype(np.int64)
 
 
 def _lists(values: np.ndarray, offset: np.ndarray) -> pa.ListArray:

@@ -105,12 +105,12 @@ WITH w AS (
 ), f AS (
   SELECT lev, lang, source, rule, n, CASE WHEN both_sides THEN q1 - greatest(room, 3 * (q3 - q1)) END AS lo,
     q3 + greatest(room, 3 * (q3 - q1)) AS hi FROM q
+), l AS (
+  SELECT l.lang, l.rule, (l.lo::DOUBLE * l.n + e.lo::DOUBLE * 50) / (l.n + 50) AS lo, (l.hi::DOUBLE * l.n + e.hi::DOUBLE * 50) / (l.n + 50) AS hi
+  FROM f l JOIN f e ON e.lev = 2 AND e.rule = l.rule WHERE l.lev = 1
 ), pick AS (
-  SELECT a.lang, a.source, a.rule,
-    CASE WHEN a.n >= 200 THEN a.lo WHEN l.n >= 200 THEN l.lo ELSE e.lo END AS lo,
-    CASE WHEN a.n >= 200 THEN a.hi WHEN l.n >= 200 THEN l.hi ELSE e.hi END AS hi
-  FROM f a JOIN f l ON l.lev = 1 AND l.rule = a.rule AND l.lang IS NOT DISTINCT FROM a.lang
-  JOIN f e ON e.lev = 2 AND e.rule = a.rule WHERE a.lev = 0
+  SELECT a.lang, a.source, a.rule, (a.lo::DOUBLE * a.n + l.lo * 50) / (a.n + 50) AS lo, (a.hi::DOUBLE * a.n + l.hi * 50) / (a.n + 50) AS hi
+  FROM f a JOIN l ON l.rule = a.rule AND l.lang IS NOT DISTINCT FROM a.lang WHERE a.lev = 0
 ), bad AS (
   SELECT DISTINCT v.doc_id FROM v JOIN pick p ON p.rule = v.rule AND p.lang IS NOT DISTINCT FROM v.lang
     AND p.source IS NOT DISTINCT FROM v.source WHERE v.x > p.hi OR v.x < p.lo

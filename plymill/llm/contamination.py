@@ -5,13 +5,15 @@ words (lower-cased; a shorter item is one shingle of all its words) are in the d
 Items fall into size classes by powers of two.  For a class, documents are cut into
 overlapping windows twice as wide as its largest item, so that the windows that can
 hold an item have about its size and their sketches are comparable.  Sketches are
-one-permutation MinHash; one equal bin makes a candidate, and all shingles of the whole
-document then decide exactly.
+one-permutation MinHash of a bounded number of bins.  A document and an item are a candidate pair when at least a share of the
+item's bins agree with some window, about half of what an item at the threshold has in expectation; most items that merely share
+some shingles with a document fall through.  Only for candidates are the shingles of the whole document counted exactly.  The search can in principle miss an item
+at the threshold by chance of the hashes; tests measure its recall and how many pairs it prunes.
 
 Items are handled in blocks of a bounded number of shingles, each against all documents:
 a block is the only thing sent to all tasks.  Documents never move.  Null, empty and
-blank texts on either side match nothing; repeated items are reported for each id; other
-columns pass unchanged.
+blank texts on either side match nothing; repeated items and repeated rows are reported for each; an empty table on
+either side gives no rows.  Texts may have any length.  Other columns pass unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ WIDTH = 5
 THRESHOLD = 75
 BLOCK_SHINGLES = 1_000_000
 PERMUTATIONS = 4
-BINS_PER_SHINGLE = 8
+BINS = 512
 KIND = "array<struct<item:int,n_shared:int>>"
 
 
@@ -44,6 +46,16 @@ class Items:
     tokens: np.ndarray
     offset: np.ndarray
     holder: np.ndarray
+    by_item: tuple[np.ndarray, np.ndarray] | None = None
+
+    def tokens_of(self, item: int) -> np.ndarray:
+        """The places of an item's tokens."""
+        if self.by_item is None:
+            order = np.argsort(self.holder, kind="stable")
+            token = np.repeat(np.arange(len(self.tokens)), np.diff(self.offset))[order]
+            self.by_item = token, np.searchsorted(self.holder[order], np.arange(len(self.size) + 1))
+        token, bounds = self.by_item
+        return token[bounds[item] : bounds[item + 1]]
 
     @property
     def klass(self) -> np.ndarray:
@@ -77,7 +89,18 @@ def _sketch(group: np.ndarray, values: np.ndarray, bins: int, salt: int) -> np.n
     return least
 
 
-def _near(items: Items, doc: np.ndarray, place: np.ndarray, found: np.ndarray, hit: np.ndarray) -> np.ndarray:
+def agreeing_share(threshold: int, bins: int, klass: int) -> float:
+    """Half the share of an item's bins that agree, in expectation, with a window that holds ``threshold`` percent of it.
+
+    A bin agrees if the item's least shingle there is in the window, and no other shingle of the
+    window is less; ``load`` is how many others a bin holds on average, at most.
+    """
+    load = (4 << klass) / bins
+    alone = (1 - np.exp(-load)) / load if load else 1.0
+    return threshold / 100 * alone / 2
+
+
+def _near(items: Items, doc: np.ndarray, place: np.ndarray, found: np.ndarray, hit: np.ndarray, threshold: int) -> np.ndarray:
     """Candidate (document, item) pairs, as document * items + item, in one slice.
 
     ``doc``, ``place`` and ``found`` describe all shingles, ``hit`` those that items hold.
@@ -85,7 +108,7 @@ def _near(items: Items, doc: np.ndarray, place: np.ndarray, found: np.ndarray, h
     pairs = []
     for klass in np.unique(items.klass[items.size > 0]).tolist():
         stride = 2 << klass
-        bins = BINS_PER_SHINGLE * 2 * stride
+        bins = min(8 * stride, BINS)
         of_class = np.flatnonzero((items.size > 0) & (items.klass == klass))
         mine = np.zeros(len(items.size), bool)
         mine[of_class] = True
@@ -96,30 +119,34 @@ def _near(items: Items, doc: np.ndarray, place: np.ndarray, found: np.ndarray, h
             continue
         block = doc * (1 << 40) + place // stride
         starts = np.unique(np.concatenate([block[touched], block[touched] - 1]))
+        halves = []
         for shift in (0, 1):  # a window is a block and the next one
             start = block - shift
             at = np.searchsorted(starts, start)
             inside = np.flatnonzero((at < len(starts)) & (starts[np.minimum(at, len(starts) - 1)] == start))
-            if shift == 0:
-                first_half = inside
-        members = np.concatenate([first_half, inside])
-        window = np.concatenate([block[first_half], block[inside] - 1])
+            halves.append((inside, at[inside]))
+        members, window = (np.concatenate(x) for x in zip(*halves, strict=True))
+        held, wanted = [], np.zeros(len(items.size))
         for salt in range(1, PERMUTATIONS + 1):
             least = _sketch(window, found[members], bins, salt)
             signed = _sketch(items.holder[entry], items.tokens[token_of], bins, salt)
-            keep = members[least & touched[members]]
-            token = np.searchsorted(items.tokens, found[keep])
+            wanted += np.bincount(items.holder[entry][signed], minlength=len(wanted))
+            keep = least & touched[members]
+            token = np.searchsorted(items.tokens, found[members[keep]])
+            owner, token = np.divmod(np.unique(doc[members[keep]] * len(items.tokens) + token), len(items.tokens))
             by_token = np.argsort(token_of[signed], kind="stable")
             holders, tokens = items.holder[entry][signed][by_token], token_of[signed][by_token]
             a, b = np.searchsorted(tokens, token), np.searchsorted(tokens, token, "right")
-            owner = np.repeat(doc[keep], b - a)
             which = np.repeat(a, b - a) + np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
-            pairs.append(np.unique(owner * len(items.size) + holders[which]))
+            held.append(np.repeat(owner, b - a) * len(items.size) + holders[which])
+        agreed, times = np.unique(np.concatenate(held), return_counts=True)
+        item = agreed % len(items.size)
+        pairs.append(agreed[times >= agreeing_share(threshold, bins, klass) * wanted[item]])
     return np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
 
 
 def _search(piece: Slice, items: Items, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Verified (document, item, shared shingles) of one slice."""
+    """Verified (document, item, shared shingles) of one slice: candidates first, exact counts for them alone."""
     words = piece.hashes()
     first, found = piece.windows(words, items.width)
     none = np.zeros(0, np.int64)
@@ -128,15 +155,20 @@ def _search(piece: Slice, items: Items, threshold: int) -> tuple[np.ndarray, np.
     if not hit.any():
         return none, none, none
     doc = piece.owners()[first]
-    near = _near(items, doc, first - piece.offset[doc], found, hit)
+    near = _near(items, doc, first - piece.offset[doc], found, hit, threshold)
+    if not len(near):
+        return none, none, none
+    owner, item = near // len(items.size), near % len(items.size)
     key = np.unique(doc[hit] * len(items.tokens) + at[hit])  # each shingle of a document once
-    owner, token = key // len(items.tokens), key % len(items.tokens)
-    wide = items.offset[token + 1] - items.offset[token]
-    place = np.repeat(items.offset[token] - np.cumsum(wide) + wide, wide) + np.arange(wide.sum())
-    pair, shared = np.unique(np.repeat(owner, wide) * len(items.size) + items.holder[place], return_counts=True)
-    item = pair % len(items.size)
-    good = np.isin(pair, near) & (shared * 100 >= threshold * items.size[item])
-    return pair[good] // len(items.size), item[good], shared[good]
+    bounds = np.searchsorted(key, np.arange(len(piece.counts) + 1) * len(items.tokens))
+    shared = np.array(
+        [
+            np.isin(items.tokens_of(i), key[bounds[d] : bounds[d + 1]] - d * len(items.tokens), assume_unique=True).sum()
+            for d, i in zip(owner.tolist(), item.tolist(), strict=True)
+        ]
+    )
+    good = shared * 100 >= threshold * items.size[item]
+    return owner[good], item[good], shared[good]
 
 
 def finder(index: list[Items], threshold: int):

@@ -145,7 +145,7 @@ def _shared(blocks: DataFrame, set_buckets: int) -> DataFrame:
 
     def found(table: pa.Table) -> pa.Table:
         got = gather(table, ["sid"], ["high", "low"])
-        bucket = table.column("bucket")[0].as_py()
+        bucket = np.int64(table.column("bucket")[0].as_py()) << np.int64(KEY_BITS)  # its last 16 bits stay
         token = (got["high"].view(np.uint32).astype(np.int64) << 16) | got["low"].view(np.uint16)
         sid = got["sid"][got["owner"]]
         order = np.lexsort((sid, token))
@@ -155,7 +155,7 @@ def _shared(blocks: DataFrame, set_buckets: int) -> DataFrame:
         new = runs(token)
         size = np.diff(np.append(np.flatnonzero(new), len(token)))
         df = np.repeat(size, size)
-        token, sid, df = token[df > 1] | (bucket << KEY_BITS), sid[df > 1], df[df > 1]
+        token, sid, df = token[df > 1] | bucket, sid[df > 1], df[df > 1]
         if not len(token):
             return schema.empty_table()
         names, owner = np.unique(sid, return_inverse=True)

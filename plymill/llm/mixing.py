@@ -1,6 +1,7 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
-The documents of a source fall by a seeded hash into blocks.  A target is drawn as whole
+The documents of a source fall by a seeded hash into blocks, of which there are more where there are
+more documents, so that a block stays small.  A target is drawn as whole
 passes over all blocks and one part pass: permuted blocks until the rest is reached, the
 last of them cut inside, document by document, the last document at a word.  The exact
 block quotas of the sources are then split among output shards: a seeded tree halves the
@@ -10,7 +11,8 @@ these shares, and rows are shuffled inside a shard by a random key.
 
 Everything follows from hashes and the seed, so reruns agree.  Null texts have size 0 and
 null sources form one source, last in order.  Sources without words take nothing.
-Identical rows are drawn as separate documents.  An empty table gives an empty mix.
+Identical rows are drawn as separate documents; rows that differ only in other columns are cut in the order of a hash of
+all columns.  An empty table gives an empty mix.  Texts may have any length; columns of any name pass unchanged.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from plymill.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCKS = 1024
+BLOCK_ROWS = 50_000
 WEIGHTS = (5, 2, 1)
 PLAN = "source string, source_size long, target double, passes int, part long"
 
@@ -65,7 +68,12 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def _measured(docs: DataFrame, seed: int) -> DataFrame:
+def block_count(rows: int) -> int:
+    """At least BLOCKS, and so many that a block of one source has no more than about BLOCK_ROWS documents."""
+    return max(BLOCKS, -(-rows // BLOCK_ROWS))
+
+
+def _measured(docs: DataFrame, seed: int, blocks: int) -> DataFrame:
     draw = F.xxhash64(F.lit(seed), docs["doc_id"], docs["text"])
     return docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
@@ -73,7 +81,7 @@ def _measured(docs: DataFrame, seed: int) -> DataFrame:
         docs["doc_id"].alias("m_id"),
         F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("m_size"),
         draw.alias("draw"),
-        F.pmod(draw, F.lit(BLOCKS)).cast("int").alias("block"),
+        F.pmod(draw, F.lit(blocks)).cast("int").alias("block"),
     )
 
 
@@ -91,6 +99,29 @@ def _draws(blocks: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def _cut(part: DataFrame) -> DataFrame:
+    """The rows of the cut blocks, one block of each source, with ``cut``: how many of their words the part pass takes.
+
+    Only (draw, id, size) with their number of rows are put in order; the words that are left before them
+    come back to the rows by a join.
+    """
+    place = ["m_source", "draw", "m_id", "m_size"]
+    alike = part.groupBy(*place).agg(F.count("*").alias("rows"), F.max("need").alias("wanted"))
+    words = F.col("m_size") * F.col("rows")
+    upto = F.sum(words).over(W.partitionBy("m_source").orderBy("draw", "m_id", "m_size"))
+    left = alike.select(*[F.col(c).alias(f"of_{c}") for c in place], "rows", (F.col("wanted") - upto + words).alias("left"))
+    left = stored(left, "cuts")
+    same = F.lit(True)
+    for c in place:
+        same = same & part[c].eqNullSafe(left[f"of_{c}"])
+    joined = part.join(left, same).drop(*[f"of_{c}" for c in place])
+    nth = F.row_number().over(W.partitionBy(*place).orderBy(F.xxhash64("row"))) - 1
+    one, more = joined.where("rows = 1").withColumn("nth", F.lit(0)), joined.where("rows > 1").withColumn("nth", nth)
+    both = one.unionByName(more)
+    cut = F.greatest(F.lit(0), F.least(F.col("m_size"), F.col("left") - F.col("nth") * F.col("m_size")))
+    return both.withColumn("cut", cut.cast("long")).drop("rows", "left", "nth")
+
+
 def assign(docs: DataFrame, **options) -> DataFrame:
     """All columns of ``docs`` with ``mix``: struct(size, source_size, target, draws); options as below."""
     return _assigned(docs, **options).select("row.*", "mix")
@@ -100,12 +131,13 @@ def _assigned(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards:
     """(row, mix) for each document.
 
     ``draws`` has a struct(shard, epoch, words) for each time the document is taken.
-    Tables per source, and per source and block (at most 1024 a source), are small; only
-    the one row per source comes to the driver.
+    Tables per source, and per source and block, are small; only the one row per source comes to
+    the driver, so ``source`` has to name sources, not documents.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "mix")
-    _measured(docs, seed).groupBy("m_source", "block").agg(F.sum("m_size").alias("words")).write.parquet(path)
+    n = block_count(docs.count())
+    _measured(docs, seed, n).groupBy("m_source", "block").agg(F.sum("m_size").alias("words")).write.parquet(path)
     blocks = spark.read.parquet(path)
     sizes = [(r[0], r[1]) for r in blocks.groupBy("m_source").agg(F.sum("words")).collect()]
     goal = targets(sizes, share, cap)
@@ -131,18 +163,12 @@ def _assigned(docs: DataFrame, *, share: float = 1.5, cap: float = 2.0, shards:
     by_block = stored(dealt.groupBy(F.col("source").alias("d_source"), F.col("block").alias("d_block")).agg(
         F.max("need").alias("need"), F.array_sort(F.collect_list(F.struct("epoch", "shard", "need"))).alias("draws")
     ), "draws")  # its known size decides how it is joined
-    documents = _measured(docs, seed)
+    documents = _measured(docs, seed, n)
     taken = documents.join(
         by_block, documents["m_source"].eqNullSafe(by_block["d_source"]) & (documents["block"] == by_block["d_block"]), "left"
     )
-    # the one cut block of a source is about 1/1024 of it
-    upto = F.sum("m_size").over(
-        W.partitionBy("m_source").orderBy("draw", "m_id", "m_size").rowsBetween(W.unboundedPreceding, 0)
-    )
     whole = taken.where("need is null").withColumn("cut", F.lit(None).cast("long"))
-    part = taken.where("need is not null").withColumn(
-        "cut", F.greatest(F.lit(0), F.least(F.col("m_size"), F.col("need") - upto + F.col("m_size")))
-    )
+    part = _cut(taken.where("need is not null"))
     both = whole.unionByName(part)
 
     def drawn(x: Column) -> Column:

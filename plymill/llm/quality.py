@@ -7,7 +7,9 @@ the language and to the corpus, and hot groups combine map-side.  Fences of
 the quartiles replace fixed cutoffs; a join brings them back to the documents.
 
 Null languages and sources are groups of their own.  Null or empty texts have no words
-and fail the base rule.  Repeated rows count as often as they occur.
+and fail the base rule.  Repeated rows count as often as they occur.  Equal values share a bucket, so ties are
+judged alike.  An empty table gives an empty result.  Texts are read whole, at any length, a slice at a time.
+Other columns pass unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,7 +53,7 @@ RULES = (
     Rule("upper", "n_upper", "word_chars", 10_000, 2_500),
     Rule("length", "word_chars", "n_words", 100, 300, both_sides=True),
 )
-MIN_GROUP = 200
+PRIOR = 50
 SPREAD = 3
 
 
@@ -164,19 +166,19 @@ def fences(sketch: DataFrame, *keys: str) -> DataFrame:
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
-    """One row per (lang, source), fences by rule; groups under MIN_GROUP rows take the language's, then the corpus's."""
+    """One row per (lang, source): fences by rule, mixed with those of the language and of the corpus."""
     own = fences(sketch, "lang", "source").withColumnsRenamed({"n": "n0", "lo": "lo0", "hi": "hi0"})
     lang = fences(sketch, "lang").withColumnsRenamed({"rule": "r1", "lang": "l1", "n": "n1", "lo": "lo1", "hi": "hi1"})
     every = fences(sketch).withColumnsRenamed({"rule": "r2", "n": "n2", "lo": "lo2", "hi": "hi2"})
     joined = own.join(lang, (F.col("rule") == F.col("r1")) & F.col("lang").eqNullSafe(F.col("l1")))
     joined = joined.join(F.broadcast(every), F.col("rule") == F.col("r2"))  # one row per rule
 
+    def mixed(own: Column, n: Column, wider: Column) -> Column:
+        return (own * n + wider * PRIOR) / (n + PRIOR)
+
     def pick(name: str) -> Column:
-        return (
-            F.when(F.col("n0") >= MIN_GROUP, F.col(f"{name}0"))
-            .when(F.col("n1") >= MIN_GROUP, F.col(f"{name}1"))
-            .otherwise(F.col(f"{name}2"))
-        )
+        lang_fence = mixed(F.col(f"{name}1").cast("double"), F.col("n1"), F.col(f"{name}2").cast("double"))
+        return mixed(F.col(f"{name}0").cast("double"), F.col("n0"), lang_fence)
 
     fence = F.struct(pick("lo").alias("lo"), pick("hi").alias("hi"))
     return (

@@ -102,7 +102,8 @@ def slices(batches: Iterator[pa.RecordBatch], *, text: str = "text", lower: bool
         column = batch.column(text)
         if column.null_count:
             column = pc.fill_null(column, b"")
-        bounds = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+        wide = pa.types.is_large_binary(column.type) or pa.types.is_large_string(column.type)
+        bounds = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
         raw = column.buffers()[2]
         data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
         row = 0
