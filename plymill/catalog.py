@@ -89,8 +89,16 @@ def evaluated(spark, folder):
     return positions.evaluated_positions(plain_games(spark, folder), tables.evaluations(spark, folder))
 
 
+def stored_games(spark, folder, reference=False) -> DataFrame:
+    """Silver as a table, for queries that read it more than once."""
+    path = scratch_path(spark, "silver")
+    lake.write_partitions(games(spark, folder) if reference else plain_games(spark, folder), path, "year", "month")
+    return spark.read.parquet(path)
+
+
 def pressure(spark, folder):
-    return time_pressure.time_pressure(plain_games(spark, folder), evaluated(spark, folder))
+    stored = stored_games(spark, folder)
+    return time_pressure.time_pressure(stored, positions.evaluated_positions(stored, tables.evaluations(spark, folder)))
 
 
 def written_lake(spark, folder) -> str:
@@ -667,10 +675,10 @@ def _(spark, folder):
 
 @query("a17_overview")
 def _(spark, folder):
-    rows = plain_games(spark, folder)
-    scored = evaluated(spark, folder)
+    rows = stored_games(spark, folder, reference=True)
+    scored = positions.evaluated_positions(rows, tables.evaluations(spark, folder))
     return queries.overview(
-        players.player_months(rows), opening_rows(spark, folder), time_pressure.time_pressure(rows), scored
+        players.player_months(rows), openings.opening_performance(rows), time_pressure.time_pressure(rows), scored
     )
 
 

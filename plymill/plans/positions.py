@@ -40,7 +40,8 @@ def evaluations_per_game(evaluations: DataFrame, max_plies: int | None = None) -
     useful = evaluations.filter(F.col("game_id").isNotNull() & (F.col("ply") >= 0))
     if max_plies is not None:
         useful = useful.filter(F.col("ply") <= max_plies)
-    unique = useful.groupBy("game_id", "ply").agg(F.min("eval_cp").alias("eval_cp"))
+    # one shuffle by game serves both steps
+    unique = useful.repartition("game_id").groupBy("game_id", "ply").agg(F.min("eval_cp").alias("eval_cp"))
     listed = unique.groupBy("game_id").agg(F.array_sort(F.collect_list(F.struct("ply", "eval_cp"))).alias("entries"))
     before = F.concat(F.array(F.lit(-1)), F.slice(F.col("entries.ply"), F.lit(1), F.size("entries") - 1))
 

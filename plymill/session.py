@@ -1,4 +1,4 @@
-"""Session helpers.  The library never tunes the session of its caller."""
+"""Session helpers.  The plans never tune the session of their caller."""
 
 from __future__ import annotations
 

@@ -14,6 +14,8 @@ CHOSEN = [
     "c02_silver_games", "c07_evaluated_positions", "w05_material_balance", "j03_time_pressure", "q05_drift",
     "a20_player_style", "m03_medians", "m07_stratified_split", "m13_ranking_metrics", "m18_m25_outcome_baselines",
     "m27_knowledge_corpus", "o06_nearest_vectors", "t02_envelopes", "u02_sql_functions",
+    "a03_parser_diagnostics", "a17_overview", "c03_gate_and_publish", "j06_orphan_keys", "m05_one_hot", "m24_persona_scores",
+    "q08_diagnostics_cards", "t05_unique_events", "t06_status_counts_streamed", "u03_partition_scorer", "w02_previous_month",
 ]
 
 
