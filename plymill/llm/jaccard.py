@@ -18,7 +18,7 @@ components are compared further.
 
 Null texts, and texts without words, have no set and are linked with nothing.  Rows
 without ``doc_id`` take part; the component's id is its least ``doc_id``.  Repeated rows
-are nodes of equal sets.  Other columns pass unchanged.
+are nodes of equal sets.  An empty table gives an empty table.  Texts may have any length.  Other columns pass unchanged.
 """
 
 from __future__ import annotations

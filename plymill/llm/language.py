@@ -7,7 +7,9 @@ addition.  A text gets the language whose prototype has the largest cosine.
 Bundles are whole numbers, so sums do not depend on the order of tasks.  Letters are
 lower-cased; all else is one space.  Texts that are null or have no letter are ``und`` with
 score 0.  Equal cosines go to the first language by code point; without any
-training text everything is ``und``.
+training text everything is ``und``.  Repeated rows train and are predicted each time; a row without ``doc_id`` has no
+remainder, is neither held out nor learned from, and is predicted.  An empty table gives an empty table.  Texts are read whole, at any
+length.  Only ``doc_id``, ``text`` and ``lang`` are read, so other columns cannot clash.
 """
 
 from __future__ import annotations

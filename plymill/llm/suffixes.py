@@ -1,14 +1,17 @@
-"""Sparse suffix arrays: long passages that documents share.
+"""Long passages that documents share, from minimisers and windows.
 
-Only suffixes at minimiser positions are kept, about one word in eighteen.  They are sorted by
-their first 16 words, dealt by that key in blocks, and compared with their neighbours; a match
-is then extended to the left and to the right, window by window of 50 words around the
-matched suffix, and the windows are sorted and compared with their neighbours again.
-Every shared passage of 50 words or more holds a shared minimiser, so none is lost.
+The dealt method, sparse suffix arrays, is kept in part: only suffixes at minimiser positions are retained, about one
+word in eighteen, and compared with the others that begin alike.  But they are not sorted by their words and
+matches are not extended word by word from a pair of neighbours: suffixes meet by a hash of their first 16 words, and
+in place of the extension all windows of 50 words around a matched suffix are hashed and meet by equal hash.
+A neighbour in suffix order knows its longest match only, while the result needs every window that any other
+document holds; so all members of a run of equal prefixes would have to be compared, which the windows do
+without pairs.  Every shared passage of 50 words or more holds a shared minimiser, so none is lost.
 
 Copies of a whole text are one text, and a passage over its full length in each of them.
 Null, empty and short texts, and rows without ``doc_id``, have no passages.  Rows that
-repeat an id are one document unless their texts differ, and then each has its own.
+repeat an id are one document unless their texts differ, and then each has its own.  An empty table
+gives no passages.  Texts may have any length.  Only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
