@@ -36,11 +36,14 @@ GAME_TEXTS: list[str | None] = [
 
 
 def _texts_case() -> str:
+    """A text by part; some games have up to 73 rounds of quiet moves and a note of their own before it."""
     arms = " ".join(
         f"when {index} then " + (f"'{text}'" if text is not None else "cast(null as string)")
         for index, text in enumerate(GAME_TEXTS)
     )
-    return f"case l_partkey % {len(GAME_TEXTS)} {arms} end"
+    text = f"case l_partkey % {len(GAME_TEXTS)} {arms} end"
+    quiet = "repeat('Nf3 Nf6 Ng1 Ng8 ', cast(l_orderkey % 74 as int)) || '{ note ' || cast(l_suppkey as string) || ' } '"
+    return f"case when l_partkey % 32 = 3 then {quiet} || coalesce({text}, '') else {text} end"
 
 
 _DATE = (
