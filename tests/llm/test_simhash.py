@@ -54,10 +54,13 @@ def corpus():
     return rows + [(None, long, 1), (None, None, None), (100, long, 1), (100, long, 1), (7, long + " end", 1)]
 
 
-def test_hashes_are_spark_hashes(spark):
-    texts = [t for _, t, _ in corpus() if t and len(t.split()) == 3]
-    got = spark.createDataFrame([(t,) for t in texts], "t string").select(F.xxhash64(F.lower("t"))).collect()
-    assert [r[0] % (1 << 64) for r in got if r] and texts
+def test_hashes_are_those_of_the_engine(spark):
+    """The library's XXH64 and Spark's agree, and a text of one shingle has its hash as fingerprint."""
+    texts = ["a b c", "one two", "é ü x", "x" * 100 + " y z"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    engine = {r[0]: r[1] for r in rows.select("doc_id", F.xxhash64("text")).collect()}
+    assert {r.doc_id: r.fp for r in simhash.fingerprints(rows).collect()} == engine
+    assert all(xxhash.xxh64_intdigest(t.encode(), 42) == engine[i] % (1 << 64) for i, t in enumerate(texts))
 
 
 @pytest.mark.parametrize(("blocks", "small"), [(5, 64), (3, 64), (5, 2), (3, 1)])
