@@ -1,3 +1,4 @@
+import re
 import uuid
 
 import pytest
@@ -161,3 +162,19 @@ def test_scorer_closes_its_resource_on_failure(spark, tmp_path):
     assert opened == closed > 0
     assert positions.score_with(broken.limit(0), engine(tmp_path), scorer()).count() == 0
     assert used(tmp_path) == (opened, closed)
+
+
+def test_score_lists_are_the_scores_by_game_and_no_list_is_shuffled(spark, small, capsys):
+    from plymill import catalog
+    from plymill.sources import tables
+
+    rows = catalog.plain_games(spark, small)
+    by_list = positions.evaluated_positions(rows, tables.score_lists(spark, small))
+    by_row = positions.evaluated_positions(rows, tables.evaluations(spark, small))
+    columns = ["game_id", "ply_number", "square", "eval_before_cp", "eval_after_cp", "cp_loss", "is_blunder"]
+    by_list, by_row = by_list.select(columns), by_row.select(columns)
+    assert by_list.filter("cp_loss > 0").count() > 1000
+    assert by_list.exceptAll(by_row).isEmpty() and by_row.exceptAll(by_list).isEmpty()
+    catalog.evaluated(spark, small).explain("formatted")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+    assert shuffled and not any("scores" in names or "eval_cp" in names for names in shuffled)
