@@ -178,3 +178,12 @@ def test_score_lists_are_the_scores_by_game_and_no_list_is_shuffled(spark, small
     catalog.evaluated(spark, small).explain("formatted")
     shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
     assert shuffled and not any("scores" in names or "eval_cp" in names for names in shuffled)
+
+
+def test_texts_are_parsed_once_under_the_explode(spark, small, capsys):
+    from plymill import catalog
+
+    for rows in (positions.played_positions(catalog.plain_games(spark, small)), catalog.evaluated(spark, small)):
+        rows.select("ply_number", "move").explain("simple")
+        assert capsys.readouterr().out.count("regexp_replace") < 20
+    assert played(spark, "") == []
