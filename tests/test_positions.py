@@ -187,3 +187,16 @@ def test_texts_are_parsed_once_under_the_explode(spark, small, capsys):
         rows.select("ply_number", "move").explain("simple")
         assert capsys.readouterr().out.count("regexp_replace") < 20
     assert played(spark, "") == []
+
+
+def test_only_narrow_rows_are_shuffled_by_game(spark, small, capsys):
+    from plymill import catalog
+    from plymill.plans import bronze
+    from plymill.sources import tables
+
+    for rows in (catalog.evaluated(spark, small), catalog.pressure(spark, small), catalog.bronze(spark, small)):
+        rows.explain("formatted")
+        shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", capsys.readouterr().out)
+        assert shuffled and not any(re.search(r"\b(min|row|moves\w*|clock_\w+)#", names) for names in shuffled)
+    dealt, plain = catalog.bronze(spark, small), bronze.bronze_games(tables.raw_games(spark, small))
+    assert dealt.count() == plain.count() and dealt.exceptAll(plain).isEmpty()
