@@ -90,6 +90,20 @@ def test_blunder_training(spark):
     assert trained.importances.count() > 6
 
 
+def test_metrics_read_stored_scores(spark, capsys):
+    use_checkpoints(spark)
+    fits = [
+        train.train_blunder(blunders(spark, 200), "row_id", trees=2),
+        train.train_outcome(outcomes(spark, 150), "game_id", "pre_game", trees=2),
+    ]
+    for trained in fits:
+        capsys.readouterr()
+        trained.scored.explain()
+        trained.metrics.explain()
+        plans = capsys.readouterr().out
+        assert "FileScan parquet" in plans and "UDF" not in plans  # the trees are not walked again
+
+
 def test_saved_model_scores_raw_rows(spark, tmp_path):
     use_checkpoints(spark)
     rows = blunders(spark, 200)
