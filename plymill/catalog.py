@@ -124,7 +124,9 @@ def _parsed(spark, folder, blocks=None):
 def _reread(spark, folder, **options):
     path = scratch_path(spark, "blocks")
     tables.game_blocks(spark, folder).write.options(**options).text(path)
-    return _parsed(spark, folder, lake.read_game_blocks(spark, path, partitions=8))
+    # plain files are split by their size; a compressed one is one task, so its rows are dealt after it
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions")) if "compression" in options else None
+    return _parsed(spark, folder, lake.read_game_blocks(spark, path, partitions=tasks))
 
 
 BLOCK_COLUMNS = ["game_id", "white", "black", "result", "utc_date", "moves", "clock_annotations"]

@@ -249,3 +249,13 @@ def test_no_python_in_the_core_plans(spark, small):
     for frame in (games, players.player_months(games), openings.opening_performance(games), time_pressure.time_pressure(games)):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_rereading_texts_grows_with_the_input(spark, small, capsys):
+    from plymill import catalog
+
+    catalog.QUERIES["s01_split_game_texts"](spark, small).explain()
+    assert "RoundRobin" not in capsys.readouterr().out  # the reader splits plain files
+    catalog.QUERIES["s02_compressed_game_texts"](spark, small).explain()
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    assert f"RoundRobinPartitioning({tasks})" in capsys.readouterr().out
