@@ -176,3 +176,39 @@ def test_harmless_queries_pass(spark):
     rows = sqlfuncs.run_select(spark, "select 'reflect(1) using \\'x\\' csv./a' as a, transform(array(1, 2), x -> x + 1) as b, 1.5 as json -- reflect(")
     assert rows.first()["b"] == [2, 3]
     assert sqlfuncs.run_select(spark, "select * from (values (1), (2)) a(x) join (values (1)) b(x) using (x)").count() == 1
+
+
+def largest_method(spark, df):
+    """Bytes of the largest method that Spark generates for a plan; the JIT compiler leaves those of over 8000 alone."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = debug.codegenStringSeq(df.select("*")._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    return max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size()))
+
+
+def test_rows_are_made_and_parsed_by_compiled_code(spark, small):
+    from plymill.sources import tables
+
+    assert 0 < largest_method(spark, tables.raw_games(spark, small)) <= 8000
+    blocks = tables.game_blocks(spark, small)
+    assert 0 < largest_method(spark, text.parse_blocks(blocks, batch_id="b", judged=True)) <= 8000
+
+
+def test_spark_rules_make_the_rows_of_the_plain_rules(spark, small, monkeypatch):
+    from plymill.sources import tables
+
+    rows = tables.raw_games(spark, small)
+    monkeypatch.setattr(tables, "SPARK_RULES", tables.RAW_RULES)
+    plain = tables.raw_games(spark, small)
+    assert rows.count() == plain.count() and rows.exceptAll(plain).isEmpty()
+
+
+def test_closing_result_and_repeated_tags(spark):
+    rows = ['[White "a"]\n[White "b"]\n\n1. e4 1-0', "1-0", "x1-0", "e4 1/2-1/2 *", '[Site "u/1"]\n', None]
+    found = text.parse_blocks(spark.createDataFrame([(r,) for r in rows], "block string").coalesce(1), batch_id="b")
+    assert [tuple(r) for r in found.select("game_id", "white", "moves").collect()] == [
+        (None, "b", "1. e4"), (None, None, ""), (None, None, "x1-0"), (None, None, "e4 1/2-1/2"), ("1", None, ""), (None, None, None),
+    ]
