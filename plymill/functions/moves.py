@@ -6,6 +6,8 @@ linear passes inside generated code, and only one split at the end.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,8 @@ SAN = (
     r"[+#]?"
 )
 END_CODES = r"(?:1-0|0-1|1/2-1/2|\*)"
+END_CODE = rf"(?:^| ){END_CODES}(?= |$)"
+WHITE_SPACE = "\t\n\r\f\v\u00a0"
 
 
 def strip_comments(text: Column) -> Column:
@@ -41,14 +45,21 @@ def strip_variations(text: Column) -> Column:
 
 
 def strip_numbers(text: Column) -> Column:
-    """Drop numeric glyphs and move numbers, then squeeze the blanks.
+    """Drop numeric glyphs and move numbers with the blanks around them, and squeeze the other blanks.
 
     Other white space turns into plain blanks first, which keeps the squeezing
     pattern a literal one.
     """
-    blanks = F.translate(text, "\t\n\r\f\v\u00a0", " " * 6)
-    plain = F.regexp_replace(blanks, r"\$\d+|\d+\.(?:\.\.)?", " ")
-    return F.trim(F.regexp_replace(plain, "  +", " "))
+    return _squeeze_numbers(plain_blanks(text))
+
+
+def plain_blanks(text: Column) -> Column:
+    return F.translate(text, WHITE_SPACE, " " * len(WHITE_SPACE))
+
+
+def _squeeze_numbers(blanks: Column) -> Column:
+    """One pass: a run of numbers and blanks becomes one blank, as does a run of blanks alone."""
+    return F.trim(F.regexp_replace(blanks, r" *(?:(?:\$\d+|\d+\.(?:\.\.)?) *)+|  +", " "))
 
 
 def strip_noise(text: Column) -> Column:
@@ -64,7 +75,7 @@ def clean_tokens(text: Column) -> Column:
 
 def drop_end_codes(text: Column) -> Column:
     """Drop result codes and the gaps they and emptied tokens leave; the text has only plain blanks."""
-    bare = F.regexp_replace(text, rf"(?:^| ){END_CODES}(?= |$)", "")
+    bare = F.regexp_replace(text, END_CODE, "")
     return F.trim(F.regexp_replace(bare, "  +", " "))
 
 
@@ -99,23 +110,34 @@ def parse_moves(text: Column) -> Column:
     return to_tokens(valid_prefix(move_text(text)))
 
 
+def _where(text: Column, marks: str | list[str], changed: Column) -> Column:
+    """``changed`` for a text that holds one of ``marks``, else the text itself; a search for a mark costs far less than a pattern."""
+    found = reduce(lambda a, b: a | b, [F.contains(text, F.lit(mark)) for mark in marks])
+    return F.when(found, changed).otherwise(text)
+
+
 def with_moves(df: DataFrame, source: str = "moves") -> DataFrame:
     """Adds ``moves_san`` and ``features``, the parsed moves of a text column and their features.
 
     The same steps as :func:`parse_moves`, as named columns: each one is used
     more than once by the next, and the optimizer keeps such columns apart
-    instead of repeating the work.
+    instead of repeating the work.  A step is skipped for texts without any of the marks it looks for.
     """
-    prefix = F.col("_prefix")
+    main, bare, prefix = F.col("_main"), F.col("_bare"), F.col("_prefix")
+    codes = F.regexp_replace(bare, END_CODE, "")
     return (
-        df.withColumn("_plain", strip_comments(F.col(source)))
-        .withColumn("_main", strip_variations(F.col("_plain")))
-        .withColumn("_bare", drop_end_codes(clean_tokens(strip_numbers(F.col("_main")))))
-        .withColumn("_bad", _first_bad(F.col("_bare")))
-        .withColumn("_prefix", _cut(F.col("_bare"), F.col("_bad")))
+        df.withColumn("_main", _where(F.col(source), "{;", strip_comments(F.col(source))))
+        .withColumn("_main", strip_variations(main))
+        .withColumn("_main", _where(main, WHITE_SPACE, plain_blanks(main)))
+        .withColumn("_bare", _squeeze_numbers(main))
+        .withColumn("_bare", _where(bare, "!?.", clean_tokens(bare)))
+        .withColumn("_bare", _where(bare, ["1-0", "0-1", "1/2-1/2", "*"], codes))
+        .withColumn("_bare", F.trim(_where(bare, ["  "], F.regexp_replace(bare, "  +", " "))))
+        .withColumn("_bad", _first_bad(bare))
+        .withColumn("_prefix", _cut(bare, F.col("_bad")))
         .withColumn("moves_san", to_tokens(prefix))
         .withColumn("features", _features(F.col("moves_san"), F.coalesce(prefix, F.lit(""))))
-        .drop("_plain", "_main", "_bare", "_bad", "_prefix")
+        .drop("_main", "_bare", "_bad", "_prefix")
     )
 
 
