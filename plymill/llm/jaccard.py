@@ -250,19 +250,24 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     placed = found.select(F.posexplode("p1").alias("place", "token"), "sid", "own", "n")
     tokens = placed.select("token", "sid", "own", "n", (F.col("n") - F.round(F.col("own") * F.col("n")) - F.col("place")).cast("long").alias("left"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token")
-    rows = stored(tokens.join(shared, "token"), "prefixes")
+    most = found.agg(F.sum(F.size("p1"))).first()[0] or 0
+    rows = stored(tokens.join(shared, "token"), "prefixes", most)
+    most = rows.count()  # a turn only takes rows away
     labels = None
     for turn in range(PIVOT_ROUNDS + 1):
         if labels is not None:
             known = rows.join(labels.withColumnRenamed("node", "sid"), "sid", "left")
             known = known.withColumn("root", F.coalesce("root", "sid"))
             mixed = known.groupBy("token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-            rows = stored(known.join(mixed.select("token"), "token"), "mixed")
-            if rows.isEmpty():
+            rows = stored(known.join(mixed.select("token"), "token"), "mixed", most)
+            most = rows.count()
+            if not most:
                 break
         root = F.col("root") if "root" in rows.columns else F.col("sid")
         current = rows.select("token", "sid", "own", "n", "left", root.alias("root"))
+        bound = None
         if turn < PIVOT_ROUNDS:
+            bound = most  # a pair per row
             pivots = current.groupBy("token").agg(F.min(F.struct("own", "sid", "root", "n", "left")).alias("pivot"))
             pairs = current.join(pivots, "token").where("sid <> pivot.sid and root <> pivot.root")
             pairs = pairs.where(_can_link("", "pivot.", threshold))
@@ -273,7 +278,7 @@ def links(found: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
             other = current.select("token", *[F.col(c).alias(f"o_{c}") for c in ("sid", "root", "n", "left")])
             pairs = current.join(other, "token").where("sid < o_sid and root <> o_root")
             pairs = pairs.where(_can_link("", "o_", threshold)).select(F.col("sid").alias("a"), F.col("o_sid").alias("b"))
-        fresh = stored(_verified(pairs.distinct(), found, threshold), "links")
+        fresh = stored(_verified(pairs.distinct(), found, threshold), "links", bound)
         if labels is None:
             labels = components(fresh)
         elif not fresh.isEmpty():
