@@ -81,3 +81,12 @@ def test_joins_start_no_job_while_planned(spark):
     assert (n, m) == (0, 0)
     assert sorted(r.level or "" for r in folded.collect()) == ["", prep.RARE_LEVEL, "a", "a"]
     assert {(r.y, round(r.weight, 6)) for r in weighted.collect()} == {(1, 2.0), (0, round(4 / 6, 6))}
+
+
+@pytest.mark.parametrize("share", [0.0001, 0.01, 0.37, 1.0])
+def test_a_stratified_sample_is_the_share_that_the_split_marks(spark, share):
+    frame = spark.range(9000).select((F.col("id") % 5000).alias("k"), F.when(F.col("id") % 7 > 1, F.col("id") % 3).alias("y"), F.col("id"))
+    marked = keyed.stratified_split(frame, "y", "k", share, 5).filter("is_test").drop("is_test")
+    sample = keyed.stratified_sample(frame, "y", "k", share, 5)
+    assert sample.columns == frame.columns
+    assert sorted(r["id"] for r in sample.collect()) == sorted(r["id"] for r in marked.collect())
