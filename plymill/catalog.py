@@ -1052,7 +1052,9 @@ def _(spark, folder):
 def _(spark, folder):
     """Of each category: its levels, the vector's width, and how many rows and ones it has."""
     names = frames.OUTCOME_CATEGORIES
-    frame = prep.stored(prep.impute_levels(_outcomes(spark, folder), names).select("year", *names), "levels")
+    # the levels are counted first and filled in after it, so the rows are stored rather than derived twice
+    plain = prep.stored(_outcomes(spark, folder).select("year", *names), "categories")
+    frame = prep.stored(prep.impute_levels(plain, names), "levels")
     coded = prep.encoder(["year"], names).fit(frame).transform(frame)
 
     def facts(name):

@@ -1,5 +1,5 @@
 from plymill import catalog
-from plymill.ml import train
+from plymill.ml import prep, train
 
 
 def test_feature_sets_share_one_frame(spark, small, monkeypatch):
@@ -19,3 +19,16 @@ def test_feature_sets_share_one_frame(spark, small, monkeypatch):
     rows = catalog.QUERIES["m10_boosted_outcome_models"](spark, small).collect()
     assert sorted(fitted) == [("frame 1", "post_game"), ("frame 1", "pre_game")]
     assert sorted(r["feature_set"] for r in rows) == ["post_game", "pre_game"] and all(r["n_sound"] == 1 for r in rows)
+
+
+def test_levels_are_counted_and_filled_in_from_a_stored_table(spark, small, monkeypatch):
+    """Each of the two steps derived all rows from the raw table."""
+    read, impute = [], prep.impute_levels
+
+    def seen(frame, columns):
+        read.extend(frame.inputFiles())
+        return impute(frame, columns)
+
+    monkeypatch.setattr(prep, "impute_levels", seen)
+    assert catalog.QUERIES["m05_one_hot"](spark, small).count() == 4
+    assert read and not [path for path in read if "lineitem" in path]
